@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, fertility, huffman
+from . import bpe, fertility, huffman, recompression, setsketch, suffix_dedup
 
 QUERIES = {
     "op2_bpe": bpe.op2_bpe,
+    "op3_recompression": recompression.op3_recompression,
     "op7_huffman": huffman.op7_huffman,
     "op8_fertility": fertility.op8_fertility,
+    "op9_setsketch": setsketch.op9_setsketch,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_recompression": recompression.SQL, "op10_suffix_dedup": suffix_dedup.SQL}
