@@ -61,12 +61,15 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word (run of non-blank bytes within one text), and the first word of each text."""
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word (run of non-blank bytes within one text), and the first word of each text.
+
+    blank: which bytes separate words.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    ink = ~_SPACE[data]
+    ink = ~blank[data]
     border = np.zeros(n + 1, bool)
     border[offsets] = True
     first = ink.copy()

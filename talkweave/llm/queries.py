@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, fertility, huffman, recompression, setsketch, suffix_dedup
+from . import additive, bpe, fertility, huffman, packing, recompression, secret_scan, setsketch, suffix_dedup, toxicity
 
 QUERIES = {
+    "op1_additive": additive.op1_additive,
     "op2_bpe": bpe.op2_bpe,
     "op3_recompression": recompression.op3_recompression,
+    "op4_packing": packing.op4_packing,
+    "op5_secrets": secret_scan.op5_secrets,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_huffman": huffman.op7_huffman,
     "op8_fertility": fertility.op8_fertility,
     "op9_setsketch": setsketch.op9_setsketch,
