@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkweave.llm import fertility
+from talkweave.llm import fertility, packing, secret_scan, setsketch, suffix_dedup
 from talkweave.llm._tables import stored, table
 
 STAGES = [
     ("quality_rules", fertility.reject_stage),
+    ("near_dedup", setsketch.dedup_stage),
+    ("suffix_dedup", suffix_dedup.cut_stage),
+    ("secret_scan", secret_scan.mask_stage),
+    ("packing", packing.pack_stage),
 ]
-#: No stage but the last could be said in SQL: tokenisers, sketches and models decide. tests/llm hold run() against brute force.
+#: Tokenisers, sketches and models decide, which SQL can't express; tests/llm hold run() against brute force.
 ORACLE_SQL = None
 
 
