@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ._tables import stored, table
 
 #: Codebooks, code words of each (all of full dimension), and sequences that encoding keeps at each step.
-BOOKS, WORDS, BEAM = 8, 64, 6
+BOOKS, WORDS, BEAM = 16, 64, 4
 #: Neighbours that are returned, and candidates of each block and query that are ranked by their exact distance.
-NEIGHBOURS, RERANK = 10, 200
+NEIGHBOURS, RERANK = 10, 400
 #: Vectors of a block, and vectors that the first codebooks are made from (all vectors then refine them).
 BLOCK, SAMPLE = 8192, 20_000
 
