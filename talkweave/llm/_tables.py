@@ -8,6 +8,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Narrow rows (an id, a mark, a few spans) that are broadcast to a join with texts, some 100 MB; more are shuffled.
+BROADCAST_ROWS = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,3 +33,22 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def beside(narrow: DataFrame) -> DataFrame:
+    """A narrow table for a join with texts: stored, counted, and broadcast if it has at most BROADCAST_ROWS rows, so that
+    the texts need no shuffle. Beyond that the join is left to Spark."""
+    kept = stored(narrow)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df doesn't have, for columns that are added for a while."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

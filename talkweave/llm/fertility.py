@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import _bpe
 from ._arrays import flat, slices
-from ._tables import stored, table
+from ._tables import beside, fresh, stored, table
 from .bpe import VOCABULARY, encoder, ship
 
 #: A vocabulary of pieces with byte fallback, beside the byte-level one that is used for encoding.
@@ -164,5 +164,7 @@ def reject_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Pipeline stage: the documents that the rules keep, all columns. Rows with a null id are judged too: the verdict
     is joined by id where there is one, and a null id's row is kept unless its text is empty."""
     verdict = rules(docs, table(spark, sf_dir, "labels"))
-    bad = verdict.where("reject AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("_bad"), "left_anti")
+    (id_,) = fresh(docs, "_bad")
+    bad = beside(verdict.where("reject AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_)).distinct())
+    kept = docs.where(F.col("doc_id").isNotNull() | (F.trim(F.coalesce("text", F.lit(""))) != ""))
+    return kept.join(bad, F.col("doc_id") == F.col(id_), "left_anti")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ._arrays import flat, ranges, slices, words
 from ._repeats import gram_hashes, repeat_sql, repeats
 from ._suffixes import common_prefixes, previous_factors, suffix_order
-from ._tables import table
+from ._tables import beside, fresh, table
 
 #: Words that a repeat has at least, and words of the grams whose least hash marks each window of that length.
 LENGTH, GRAM = 50, 25
@@ -80,15 +80,16 @@ def removed(docs: DataFrame, spans: DataFrame) -> DataFrame:
     spans, and rows without an id, stay as they are.
     """
     columns, schema = docs.columns, docs.schema
-    cuts = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("_cuts"))
-    joined = docs.join(cuts, docs["doc_id"] == F.col("_id"), "left").drop("_id")
+    id_, mark = fresh(docs, "_id", "_cuts")
+    cuts = spans.groupBy(F.col("doc_id").alias(id_)).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias(mark))
+    joined = docs.join(beside(cuts), docs["doc_id"] == F.col(id_), "left").drop(id_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                cuts = part.column("_cuts")
+                cuts = part.column(mark)
                 rows = np.flatnonzero(cuts.is_valid().to_numpy(zero_copy_only=False))
-                out = part.drop_columns(["_cuts"])
+                out = part.drop_columns([mark])
                 if len(rows):
                     texts, gone = part.column("text").to_pylist(), []
                     data, offsets = flat(part.column("text"))
