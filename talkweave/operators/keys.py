@@ -31,7 +31,7 @@ def multiple(keys: list[str]) -> Column:
 
 def drop_ambiguous(df: DataFrame, keys: list[str], bounds: list[str]) -> DataFrame:
     """Leaves out rows that lack a bound while their key has several rows."""
-    missing = F.greatest(*(F.col(b).isNull().cast("int") for b in bounds)) == 1
+    missing = F.exists(F.array(*(F.col(b).isNull() for b in bounds)), lambda x: x)
     return df.withColumn("_many", multiple(keys)).where(~(missing & F.col("_many"))).drop("_many")
 
 

@@ -113,8 +113,8 @@ def protocols(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
                 try:
                     rows += [s | {"protocol_id": protocol} for s in protocol_speeches(ET.fromstring(content))]
                 except ET.ParseError:
-                    rows.append({"protocol_id": protocol})
-            yield pd.DataFrame(rows, columns=["text", "speaker_id", "speech_id", "protocol_id", "date", "pos"]).astype({"pos": "Int32"})
+                    rows.append({"text": None, "speaker_id": None, "speech_id": None, "protocol_id": protocol, "date": None, "pos": None})
+            yield pd.DataFrame(rows, columns=["text", "speaker_id", "speech_id", "protocol_id", "date", "pos"], dtype=object).astype({"pos": "Int32"})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     return files.select("path", "content").mapInPandas(run, schemas.SPEECH)

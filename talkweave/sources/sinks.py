@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ def sharded(df: DataFrame, path: str, key: str = "shard") -> None:
     """One folder a shard; shards that are there already stay as they are."""
     spark = df.sparkSession
     try:
-        done = spark.read.parquet(path).select(F.col(key).cast("string").alias("_done")).distinct()
+        done = spark.read.schema(df.schema).parquet(path).select(F.col(key).cast("string").alias("_done")).distinct()
         df = df.join(done, F.col(key).cast("string") == F.col("_done"), "left_anti")
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
@@ -80,7 +81,6 @@ def wav_bytes(rate: int = 16_000):
     import wave
 
     import numpy as np
-    import pandas as pd
 
     @F.pandas_udf("binary")
     def udf(audio: pd.Series) -> pd.Series:
