@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import _bpe
@@ -22,8 +22,10 @@ TAILS = {"chars_per_token": 0.002, "entropy": 0.004, "byte_share": 0.0005}
 #: A band is drawn for a language and size (whole part of log2 n_tokens) with at least so many labelled good documents,
 #: and for texts of at least so many tokens.
 LEAST_GOOD, LEAST_TOKENS = 50, 24
+#: Sizes that there are: texts of up to 2^40 tokens.
+LARGEST = 40
 #: Limits that hold for any text, also where no band is known: (least, most) of each measure.
-ANY = {"chars_per_token": (1.05, 12.0), "byte_share": (0.0, 0.5)}
+ANY = {"chars_per_token": (1.05, 12.0), "byte_share": (0.0, 0.5), "spread": (0.15, 1.0)}
 
 
 def known_characters(path: str) -> np.ndarray:
@@ -63,7 +65,7 @@ def measures(docs: DataFrame, path: str = VOCABULARY, pieces: str = PIECES, text
                 doc = np.repeat(np.arange(len(n)), n)
                 _, count = np.unique(doc * size + ids, return_counts=True)
                 # A text's distinct tokens follow one another, so sums over them are differences of running sums.
-                ends = np.searchsorted(np.cumsum(count), first)
+                ends = np.searchsorted(np.cumsum(count), first, "right")
                 run_sum = np.concatenate([[0.0], np.cumsum(count * np.log2(count))])
                 with np.errstate(divide="ignore", invalid="ignore"):
                     entropy = np.maximum(np.log2(n) - (run_sum[ends[1:]] - run_sum[ends[:-1]]) / n, 0)
@@ -97,22 +99,24 @@ def measures(docs: DataFrame, path: str = VOCABULARY, pieces: str = PIECES, text
 
 
 def draw_bands(measured: DataFrame, good: str = "good", lang: str = "lang") -> DataFrame:
-    """Bands (lang, size, good_n, low_chars, low_entropy, high_bytes) from every measured row that is labelled good.
+    """Bands (band_lang, band_size, low_chars, low_entropy, high_bytes) from every measured row that is labelled good.
 
-    measured: the columns of `measures`, the language and a boolean. The result has a row for each language and size of
-    text, some twenty sizes at most. Null languages have no band.
+    measured: the columns of `measures`, the language and a boolean. A size of text with too few good documents has the
+    language's limits for all sizes, and the least entropy of the next smaller size that has its own (entropy rises with
+    size). The result has LARGEST rows a language at most. Null languages have no band.
     """
-    return (
-        measured.where(F.col(good) & F.col(lang).isNotNull() & (F.col("n_tokens") >= LEAST_TOKENS))
-        .groupBy(F.col(lang).alias("band_lang"), size_class().alias("band_size"))
-        .agg(
-            F.count(F.lit(1)).alias("good_n"),
-            F.percentile("chars_per_token", F.lit(TAILS["chars_per_token"])).alias("low_chars"),
-            F.percentile("entropy", F.lit(TAILS["entropy"])).alias("low_entropy"),
-            F.percentile("byte_share", F.lit(1 - TAILS["byte_share"])).alias("high_bytes"),
-        )
-        .where(F.col("good_n") >= LEAST_GOOD)
-    )
+    of = measured.where(F.col(good) & F.col(lang).isNotNull() & (F.col("n_tokens") >= LEAST_TOKENS))
+    limits = {"low_chars": ("chars_per_token", TAILS["chars_per_token"]), "low_entropy": ("entropy", TAILS["entropy"]), "high_bytes": ("byte_share", 1 - TAILS["byte_share"])}
+    drawn = [F.percentile(m, F.lit(q)).alias(n) for n, (m, q) in limits.items()]
+    enough = F.count(F.lit(1)) >= LEAST_GOOD
+    sizes = of.groupBy(F.col(lang).alias("band_lang"), size_class().alias("band_size")).agg(*drawn, enough.alias("enough")).where("enough")
+    whole = of.groupBy(F.col(lang).alias("band_lang")).agg(*(c.alias(f"all_{n}") for c, n in zip(drawn, limits)), enough.alias("enough")).where("enough").drop("enough")
+    grid = whole.withColumn("band_size", F.explode(F.sequence(F.lit(0), F.lit(LARGEST - 1)))).join(sizes, ["band_lang", "band_size"], "left")
+    smaller = Window.partitionBy("band_lang").orderBy("band_size")
+    return grid.select(
+        "band_lang", "band_size", F.coalesce("low_chars", "all_low_chars").alias("low_chars"), F.last("low_entropy", ignorenulls=True).over(smaller).alias("low_entropy"),
+        F.coalesce("high_bytes", "all_high_bytes").alias("high_bytes"),
+    )
 
 
 def size_class() -> Column:
@@ -122,15 +126,17 @@ def size_class() -> Column:
 def judge(measured: DataFrame, bands: DataFrame, lang: str = "lang") -> DataFrame:
     """Adds reject (boolean) and reason (the first measure outside its limits; "empty" without tokens; else null).
 
-    Texts of fewer than LEAST_TOKENS tokens, and those of a language and size without a band, have only ANY's limits.
+    Texts of fewer than LEAST_TOKENS tokens, and those of a language with fewer than LEAST_GOOD
+    labelled good documents, have only ANY's limits.
     """
+    long = F.col("n_tokens") >= LEAST_TOKENS
     reason = F.when(F.col("n_tokens") == 0, F.lit("empty"))
     for m, (least, most) in ANY.items():
-        reason = reason.when((F.col("n_tokens") >= LEAST_TOKENS) & ((F.col(m) < least) | (F.col(m) > most)), F.lit(m))
+        reason = reason.when(long & ((F.col(m) < least) | (F.col(m) > most)), F.lit(m))
     reason = (
-        reason.when(F.col("chars_per_token") < F.col("low_chars"), F.lit("chars_per_token"))
-        .when(F.col("entropy") < F.col("low_entropy"), F.lit("entropy"))
-        .when(F.col("byte_share") > F.col("high_bytes"), F.lit("byte_share"))
+        reason.when(long & (F.col("chars_per_token") < F.col("low_chars")), F.lit("chars_per_token"))
+        .when(long & (F.col("entropy") < F.col("low_entropy")), F.lit("entropy"))
+        .when(long & (F.col("byte_share") > F.col("high_bytes")), F.lit("byte_share"))
     )
     matches = (F.col(lang) == F.col("band_lang")) & (size_class() == F.col("band_size"))
     joined = measured.join(F.broadcast(bands), matches, "left")  # languages times sizes, whatever the documents' number
