@@ -18,7 +18,9 @@ from .bpe import VOCABULARY, encoder, ship
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Share of labelled good documents that may lie beyond an edge of a band: below for characters a token and entropy
 #: (junk has little of both), above for the share of byte fallback.
-TAILS = {"chars_per_token": 0.002, "entropy": 0.004, "byte_share": 0.0005}
+TAILS = {"chars_per_token": 0.001, "entropy": 0.001, "byte_share": 0.0001}
+#: How far an edge is then moved out, as a factor: quantiles this far out are drawn from few documents.
+SLACK = {"chars_per_token": 0.98, "entropy": 0.98, "byte_share": 1.2}
 #: A band is drawn for a language and size (whole part of log2 n_tokens) with at least so many labelled good documents,
 #: and for texts of at least so many tokens.
 LEAST_GOOD, LEAST_TOKENS = 50, 24
@@ -107,7 +109,7 @@ def draw_bands(measured: DataFrame, good: str = "good", lang: str = "lang") -> D
     """
     of = measured.where(F.col(good) & F.col(lang).isNotNull() & (F.col("n_tokens") >= LEAST_TOKENS))
     limits = {"low_chars": ("chars_per_token", TAILS["chars_per_token"]), "low_entropy": ("entropy", TAILS["entropy"]), "high_bytes": ("byte_share", 1 - TAILS["byte_share"])}
-    drawn = [F.percentile(m, F.lit(q)).alias(n) for n, (m, q) in limits.items()]
+    drawn = [(F.percentile(m, F.lit(q)) * SLACK[m]).alias(n) for n, (m, q) in limits.items()]
     enough = F.count(F.lit(1)) >= LEAST_GOOD
     sizes = of.groupBy(F.col(lang).alias("band_lang"), size_class().alias("band_size")).agg(*drawn, enough.alias("enough")).where("enough")
     whole = of.groupBy(F.col(lang).alias("band_lang")).agg(*(c.alias(f"all_{n}") for c, n in zip(drawn, limits)), enough.alias("enough")).where("enough").drop("enough")
