@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are taken at once from a larger batch; a longer text comes alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -48,6 +49,19 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):
+    _trim = None
+
+
+def released() -> None:
+    """Gives memory that is free but held by allocators back to the system: a worker keeps running between tasks, beside others."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about SLICE_BYTES of text, so that temporary arrays stay small."""
     if not batch.num_rows:
@@ -59,6 +73,7 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+    released()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ from ._arrays import hash_spans, mix, ranges
 
 U = np.uint64
 #: Longest-match words that a worker remembers before it starts afresh.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3
 
 
@@ -204,8 +204,9 @@ def _class_table() -> np.ndarray:
     if _classes is None:
         import regex
 
-        every = [chr(c) if not 0xD800 <= c < 0xE000 else "\x00" for c in range(0x110000)]
-        text = "".join(every)
+        every = np.arange(0x110000, dtype="<u4")
+        every[0xD800:0xE000] = 0
+        text = every.tobytes().decode("utf-32-le")
         t = np.full(0x110000, OTHER, np.uint8)
         for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
             for m in regex.finditer(pattern, text):
@@ -304,7 +305,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known = Table(REMEMBERED.bit_length() + 1)
-        self.tokens, self.filled = np.zeros(1 << 20, np.int32), 0
+        self.tokens, self.filled = np.zeros(1 << 19, np.int32), 0
         self.at, self.count = np.zeros(REMEMBERED * 2, np.int32), np.zeros(REMEMBERED * 2, np.int32)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

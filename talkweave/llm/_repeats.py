@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrays import U, flat, hash_spans, mix, slices, words
+from ._arrays import U, flat, hash_spans, mix, released, slices, words
 
 Anchors = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 Search = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
@@ -151,6 +151,7 @@ def repeats(docs: DataFrame, anchors: Anchors, search: Search, length: int, left
         from_ = hits[at] - head[seg] + begin[seg]
         until = hits[to] - head[seg] + begin[seg] + length
         yield pa.RecordBatch.from_arrays([pa.array(doc_of[seg]), pa.array(from_), pa.array(until), pa.array(doc_of[segment[source[at]]])], ["doc_id", "s", "e", "source"])
+        released()
 
     found = segments.repartition("home").mapInArrow(seek, "doc_id long, s long, e long, source long")
     by_start = Window.partitionBy("doc_id").orderBy("s", "e", "source")
