@@ -181,6 +181,33 @@ def test_near_duplicates_many(spark):
     assert all(got.get(i) == 0 for i in range(1, 300))
 
 
+def test_near_duplicates_through_a_middle_original(spark):
+    """Copies with 8 % of their words changed: each resembles the original, but hardly another copy."""
+    r = random.Random(8)
+    texts = {}
+    for g, k in enumerate((200, 20, 20)):
+        for i in range(k):
+            w = prose(7000 + g, 250).split()
+            for at in r.sample(range(250), 20 if i != k // 2 else 0):
+                w[at] = f"y{r.randrange(10**6)}"
+            texts[g * 1000 + i] = " ".join(w)
+    want = brute_groups(texts)
+    assert len(want) >= 235
+    got = {x.doc_id: x.kept_doc_id for x in setsketch.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_resembling_rows_of_two_leaders():
+    """Rows 5 and 6 resemble each other, but are connected through rows 0 and 1 before they could lead."""
+    rng = np.random.default_rng(0)
+    r = rng.integers(3000, 3400, (7, setsketch._M)).astype(np.uint16)
+    r[5, :114], r[6, 34:114], r[1, 34:84], r[1, 114:] = r[0, :114], r[0, 34:114], r[0, 34:84], r[6, 114:]
+    r[0, 34:54] = rng.integers(3000, 3400, 20)
+    r[1, :34] = r[6, :34]
+    a, b, _ = setsketch.resembling(np.zeros(7, np.int64), r, 0.37, 0.63)
+    assert {(0, 5), (1, 6), (5, 6)} <= {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(3)
     for share in (0.2, 0.5, 0.8):
