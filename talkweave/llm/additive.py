@@ -15,7 +15,7 @@ from ._tables import stored, table
 
 #: Codebooks, code words of each (all of full dimension), and sequences that encoding keeps at each step.
 BOOKS, WORDS, BEAM = 16, 64, 4
-#: Neighbours that are returned, and candidates of each block and query that are ranked by their exact distance.
+#: Neighbours that are returned, and candidates of each block and query whose exact distances bound the rest.
 NEIGHBOURS, RERANK = 10, 400
 #: Vectors of a block, and vectors that the first codebooks are made from (all vectors then refine them).
 BLOCK, SAMPLE = 8192, 20_000
@@ -124,7 +124,8 @@ def train(vectors: DataFrame, n: int) -> Quantiser:
 
 
 def coded(vectors: DataFrame, q: Quantiser) -> DataFrame:
-    """(vec_id, embedding, codes, norm, cell, gap): codes, squared norm of their sum, nearest cell and distance from it."""
+    """(vec_id, embedding, codes, norm, error, cell, gap): codes, squared norm of their sum and distance from it, nearest
+    cell and distance from it."""
     shipped = vectors.sparkSession.sparkContext.broadcast(q)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,23 +135,37 @@ def coded(vectors: DataFrame, q: Quantiser) -> DataFrame:
                 part = batch.slice(s, 2000)
                 x = _matrix(part.column("embedding"))
                 codes = encode(books, x)
-                norm = (decoded(books, codes) ** 2).sum(1)
+                near = decoded(books, codes)
+                norm = (near**2).sum(1)
+                error = np.sqrt(((x - near) ** 2).sum(1))
                 far = (cells**2).sum(1) - 2 * x @ cells.T
                 cell = far.argmin(1)
                 gap = np.sqrt(((x - cells[cell]) ** 2).sum(1))
                 at = np.arange(len(x) + 1, dtype=np.int32) * codes.shape[1]
                 packed = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(codes))])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), packed, pa.array(norm.astype(np.float32)), pa.array(cell.astype(np.int32)), pa.array(gap.astype(np.float64))], ["vec_id", "embedding", "codes", "norm", "cell", "gap"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), packed, pa.array(norm.astype(np.float32)), pa.array(error.astype(np.float32)), pa.array(cell.astype(np.int32)), pa.array(gap.astype(np.float64))], ["vec_id", "embedding", "codes", "norm", "error", "cell", "gap"])
 
-    return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, embedding array<float>, codes binary, norm float, cell int, gap double")
+    return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, embedding array<float>, codes binary, norm float, error float, cell int, gap double")
 
 
-def nearest(books: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, k: int, rerank: int):
+def nearest(books: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, error: np.ndarray, k: int, rerank: int):
     """(query index, id, squared distance) of the k nearest of x to each query, itself left out.
 
     Approximate distances are sums of table entries: for each codebook, the products of its words with the queries. The
-    `rerank` best by these are measured exactly.
+    `rerank` best by these are measured exactly, and the k-th of them bounds the rest: whatever may lie as near, given its
+    quantisation error (distance from the sum of its code words), is measured too, so none of the k nearest is lost. Of
+    equal vectors the k + 1 of least ids are enough.
     """
+    order = np.argsort(ids, kind="stable")
+    _, same = np.unique(np.ascontiguousarray(x[order]).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel(), return_inverse=True)
+    grouped = np.argsort(same, kind="stable")
+    place = np.empty(len(x), np.int64)
+    place[grouped] = np.arange(len(x)) - np.searchsorted(same[grouped], same[grouped])
+    x, ids, codes, norm, error = (v[order[place <= k]] for v in (x, ids, codes, norm, error))
+    wide = x.astype(np.float64)
+    squares = (wide**2).sum(1)
+    # More than table sums in single precision can be off, for a query of length 0, and a squared length more.
+    reach = float(np.sqrt((books.astype(np.float64) ** 2).sum(2)).max(1).sum()) ** 2
     out_q, out_i, out_d = [], [], []
     for s in range(0, len(queries), 256):
         q, own = queries[s : s + 256], query_ids[s : s + 256]
@@ -160,14 +175,25 @@ def nearest(books: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, x: np
         approx = approx.T
         r = min(rerank + 1, len(x))
         some = np.argpartition(approx, r - 1, axis=1)[:, :r] if r < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-        exact = ((x[some] - q[:, None, :]) ** 2).sum(2).astype(np.float64)
-        exact[ids[some] == own[:, None]] = np.inf
-        order = np.lexsort((ids[some], exact), axis=1)[:, :k]
-        rows = np.arange(len(q))[:, None]
-        d, i = exact[rows, order], ids[some][rows, order]
-        fine = np.isfinite(d)
-        out_q.append((np.nonzero(fine)[0] + s))
-        out_i.append(i[fine])
+        first = ((x[some] - q[:, None, :]) ** 2).sum(2).astype(np.float64)
+        first[ids[some] == own[:, None]] = np.inf
+        bound = np.partition(first, k - 1, axis=1)[:, k - 1] * (1 + 1e-5) if r >= k else np.full(len(q), np.inf)
+        far = q.astype(np.float64)
+        length = (far**2).sum(1)
+        least = np.sqrt(np.maximum(approx + (length - 1e-5 * (length + reach))[:, None], 0)) - error * (1 + 1e-5)
+        may = (least <= np.sqrt(bound)[:, None]) & (ids != own[:, None])
+        at = np.flatnonzero(may.any(0))
+        # In double precision all at once, then those that can count by their differences.
+        close = length[:, None] + squares[at] - 2 * far @ wide[at].T
+        slack = 1e-12 * (length[:, None] + squares[at])
+        row, col = np.nonzero(may[:, at] & (close <= bound[:, None] + slack))
+        col = at[col]
+        d = np.concatenate([((wide[col[e : e + 100_000]] - far[row[e : e + 100_000]]) ** 2).sum(1) for e in range(0, max(len(row), 1), 100_000)])
+        best = np.lexsort((ids[col], d, row))
+        row, col, d = row[best], col[best], d[best]
+        fine = np.arange(len(row)) - np.searchsorted(row, row) < k
+        out_q.append(row[fine] + s)
+        out_i.append(ids[col[fine]])
         out_d.append(d[fine])
     return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_d)
 
@@ -201,7 +227,7 @@ def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK) ->
             return pd.DataFrame({"vec_id": [], "neighbour_id": [], "d2": []}).astype({"vec_id": "int64", "neighbour_id": "int64"})
         ids = c["c_vec_id"].to_numpy()
         codes = np.frombuffer(b"".join(c["c_codes"]), np.uint8).reshape(len(c), -1)
-        at, i, d = nearest(shipped.value.books, np.stack(q["embedding"]).astype(np.float32), q["vec_id"].to_numpy(), np.stack(c["c_embedding"]).astype(np.float32), ids, codes, c["c_norm"].to_numpy(), k, rerank)
+        at, i, d = nearest(shipped.value.books, np.stack(q["embedding"]).astype(np.float32), q["vec_id"].to_numpy(), np.stack(c["c_embedding"]).astype(np.float32), ids, codes, c["c_norm"].to_numpy(), c["c_error"].to_numpy(), k, rerank)
         return pd.DataFrame({"vec_id": q["vec_id"].to_numpy()[at], "neighbour_id": i, "d2": d})
 
     part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
@@ -213,8 +239,8 @@ def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK) ->
         """queries: vec_id, embedding, cell to visit, pieces."""
         q = queries.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("share", part("vec_id")).drop("pieces")
         shares = q.select("cell", "piece", "share").distinct()
-        c = dealt.select("vec_id", "embedding", "codes", "norm", "cell", "piece").join(shares, ["cell", "piece"])
-        c = c.select(*(F.col(x).alias(f"c_{x}") for x in ("vec_id", "embedding", "codes", "norm", "cell", "piece", "share")))
+        c = dealt.select("vec_id", "embedding", "codes", "norm", "error", "cell", "piece").join(shares, ["cell", "piece"])
+        c = c.select(*(F.col(x).alias(f"c_{x}") for x in ("vec_id", "embedding", "codes", "norm", "error", "cell", "piece", "share")))
         return q.groupBy("cell", "piece", "share").cogroup(c.groupBy("c_cell", "c_piece", "c_share")).applyInPandas(search, "vec_id long, neighbour_id long, d2 double")
 
     own = stored(visit(points.join(pieces.drop("radius"), "cell").select("vec_id", "embedding", "cell", "pieces")))

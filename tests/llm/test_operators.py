@@ -407,6 +407,25 @@ def test_neighbours_recall(spark, clusters, monkeypatch):
     assert np.mean([len(got[i] & want[i]) / 10 for i in want]) >= 0.95
 
 
+def test_neighbours_in_tight_clusters():
+    """Near copies that the codes can't tell apart, and more equal vectors than are reranked, at production parameters."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(5500, 32)).astype(np.float32)
+    x[:2000] = x[0] + rng.normal(size=(2000, 32)).astype(np.float32) * 1e-3
+    x[2000:2500] = x[2000]
+    ids = rng.permutation(5500)
+    books = additive.first_books(x, np.random.default_rng(1))
+    codes = additive.encode(books, x)
+    near = additive.decoded(books, codes)
+    error = np.sqrt(((x - near) ** 2).sum(1))
+    some = np.array([*range(0, 2000, 40), *range(2000, 2500, 50), *range(2500, 5500, 100)])
+    at, i, d = additive.nearest(books, x[some], ids[some], x, ids, codes, (near**2).sum(1), error, additive.NEIGHBOURS, additive.RERANK)
+    for j, own in enumerate(some):
+        exact = ((x.astype(float) - x[own].astype(float)) ** 2).sum(1)
+        exact[own] = np.inf
+        assert i[at == j].tolist() == ids[np.lexsort((ids, exact))[: additive.NEIGHBOURS]].tolist()
+
+
 def test_neighbours_odd_rows(spark):
     rows = [(i, [float(i), 0.0], 1) for i in range(6)] + [(6, None, 1), (7, [], 1), (8, [1.0], 1), (9, [float("nan"), 1.0], 1), (10, [None, 1.0], 1), (None, [1.0, 1.0], 1), (2, [2.0, 0.0], 1), (11, [1.0, 0.0], 1)]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, cell int")
