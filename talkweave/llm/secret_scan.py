@@ -22,6 +22,8 @@ _ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 _CODE = np.full(256, -1, np.int16)
 _CODE[np.frombuffer(_ALPHABET.encode(), np.uint8)] = np.arange(len(_ALPHABET))
 _START = len(_ALPHABET)
+_GLUE = np.zeros(256, bool)
+_GLUE[np.frombuffer(b"+/_-", np.uint8)] = True
 
 
 def random_strings(n: int, seed: int) -> list[str]:
@@ -82,6 +84,7 @@ class Models:
 
     ratio: np.ndarray
     threshold: float
+    part: float  # the same for the best part of a run
 
 
 def _transitions(samples: list[str]) -> np.ndarray:
@@ -93,17 +96,46 @@ def _transitions(samples: list[str]) -> np.ndarray:
     return np.log(counts / counts.sum(1, keepdims=True))
 
 
+def _each(ratio: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each byte given the one before."""
+    code = _CODE[data].astype(np.int64)
+    before = np.concatenate([[_START], code[:-1]])
+    return np.where(code >= 0, ratio[np.where(before >= 0, before, _START), np.maximum(code, 0)], 0.0)
+
+
 def score(ratio: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Total log-likelihood ratio of each byte span."""
     if not len(starts):
         return np.zeros(0)
-    code = _CODE[data].astype(np.int64)
-    before = np.concatenate([[_START], code[:-1]])
-    each = np.where(code >= 0, ratio[np.where(before >= 0, before, _START), np.maximum(code, 0)], 0.0)
-    total = np.concatenate([[0.0], np.cumsum(each)])
+    total = np.concatenate([[0.0], np.cumsum(_each(ratio, data))])
     return total[ends] - total[starts]
 
 
+def best_part(each: np.ndarray) -> tuple[int, int, float]:
+    """Start, end and total of the contiguous part of largest total."""
+    total = np.concatenate([[0.0], np.cumsum(each)])
+    gain = total - np.minimum.accumulate(total)
+    end = int(gain.argmax())
+    return int(total[: end + 1].argmin()), end, float(gain[end])
+
+
+def parts(each: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """All parts that score `least`: the best, then the best of what lies before it and behind it, and so on. A part that
+    holds ordinary words as surely as that is taken apart there."""
+    todo, out = [(0, len(each))], []
+    while todo:
+        a, b = todo.pop()
+        i, j, s = best_part(each[a:b])
+        if s >= least:
+            k, m, drop = best_part(-each[a + i : a + j])
+            if drop >= least:
+                todo += [(a, a + i + k), (a + i + m, b)]
+            else:
+                out.append((a + i, a + j, s))
+                todo += [(a, a + i), (a + j, b)]
+    return sorted(out)
+
+
 def scores(ratio: np.ndarray, strings: list[str]) -> np.ndarray:
     raw = [s.encode() + b" " for s in strings]
     ends = np.cumsum([len(r) for r in raw])
@@ -112,15 +144,18 @@ def scores(ratio: np.ndarray, strings: list[str]) -> np.ndarray:
 
 def train(path: str = WORDS, samples: int = SAMPLES, seed: int = 5) -> Models:
     """Both models from labelled samples; the threshold midway between the kinds' ranges on samples that were held out:
-    where only one identifier in 10,000 lies above it, but at least 5 (the random model must be e^5 times likelier)."""
+    where the best part of only one identifier in 10,000 lies above it, but at least 5 (the random model must be e^5 times
+    likelier)."""
     ratio = _transitions(random_strings(samples, seed)) - _transitions(identifiers(samples, seed + 1, path))
-    held = scores(ratio, identifiers(samples, seed + 2, path))
-    return Models(ratio, max(float(np.quantile(held, 0.9999)), 5.0))
+    names = identifiers(samples, seed + 2, path)
+    best = [best_part(_each(ratio, np.frombuffer(s.encode(), np.uint8)))[2] for s in names]
+    return Models(ratio, *(max(float(np.quantile(held, 0.9999)), 5.0) for held in (scores(ratio, names), best)))
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, models: Models) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte, and score, of every secret: runs of at least LEAST characters of the alphabet that have a
-    digit and a letter and score enough."""
+    """Start and end byte, and score, of every secret: parts, with a digit and a letter, of runs of at least LEAST
+    characters of the alphabet that score enough by themselves, whatever they are glued to, or the whole run where only its total does. A part goes on to the next of
+    / _ - + on either side, so that no rest of the secret stays."""
     n = len(data)
     if n < LEAST:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -138,9 +173,30 @@ def spans(data: np.ndarray, offsets: np.ndarray, models: Models) -> tuple[np.nda
     letter = np.concatenate([[0], np.cumsum(inside & (data >= 65))])
     mixed = (digit[ends] > digit[starts]) & (letter[ends] > letter[starts])
     starts, ends = starts[mixed], ends[mixed]
-    s = score(models.ratio, data, starts, ends)
-    hit = s >= models.threshold
-    return starts[hit], ends[hit], s[hit]
+    each = _each(models.ratio, data)
+    # Only runs whose positive ratios alone would do are looked into.
+    most = np.concatenate([[0.0], np.cumsum(np.maximum(each, 0))])
+    found: list[list] = []
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        whole = float(each[a:b].sum())
+        if whole < models.threshold and most[b] - most[a] < models.part - 1e-6:
+            continue
+        cuts = a + np.flatnonzero(_GLUE[data[a:b]])
+        own: list[list] = []
+        for i, j, s in parts(each[a:b], models.part):
+            k, m = np.searchsorted(cuts, a + i), np.searchsorted(cuts, a + j)
+            i, j = int(cuts[k - 1]) + 1 if k else a, int(cuts[m]) if m < len(cuts) else b
+            if own and i < own[-1][1]:
+                own[-1][1:] = [max(j, own[-1][1]), max(s, own[-1][2])]
+            else:
+                own.append([i, j, s])
+        if not own and whole >= models.threshold:
+            own.append([a, b, whole])
+        found += [x for x in own if digit[x[1]] > digit[x[0]] and letter[x[1]] > letter[x[0]]]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    at, to, s = zip(*found)
+    return np.array(at), np.array(to), np.array(s)
 
 
 def find_secrets(docs: DataFrame, models: Models | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -343,6 +343,27 @@ def test_secrets(docs, clashing, empty, texts):
     assert secret_scan.find_secrets(empty, m).count() == 0 and secret_scan.masked(empty, m).count() == 0
 
 
+def test_secrets_glued_to_words():
+    """Inside URLs, paths and prefixed names; several in one run."""
+    m, r = secret_scan.train(), random.Random(6)
+    key = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    hexa, base62 = "0123456789abcdef", secret_scan._ALPHABET[:62]
+    lost = n = 0
+    for before in ("https://example.com/", "https://hooks.example.com/services/incoming/messages/", "/srv/deploy/production/settings/", "my_service_access_token_"):
+        for letters, size in ((hexa, 40), (hexa, 32), (base62, 24), (base62, 40)):
+            for _ in range(25):
+                k = key(letters, size)
+                text = before + k + r.choice(["", "/messages/latest"])
+                starts, ends, _ = secret_scan.spans(*flat(pa.array([text])), m)
+                n, lost = n + 1, lost + (not any(a <= text.index(k) and text.index(k) + size <= b for a, b in zip(starts, ends)))
+    assert lost <= 0.03 * n, (lost, n)
+    two = f"configuration/settings/{key(hexa, 40)}/production-environment-variables-and-other-names/{key(base62, 40)}"
+    starts, ends, _ = secret_scan.spans(*flat(pa.array([two])), m)
+    assert len(starts) == 2 and all(size in two.split("/") for size in (two[a:b] for a, b in zip(starts, ends)))
+    names = pa.array([w for w in secret_scan.identifiers(5000, 79)])
+    assert len(secret_scan.spans(*flat(names), m)[0]) <= 5
+
+
 def test_secret_places_count_characters(spark):
     t = 'é中😀 key "A1b2C3d4E5f6G7h8I9j0K1l2M3" and k9X2mQ7vR4tZ8pL3wN6yB1cD5 ünd plainwordthatisverylongindeed 12345678901234567890'
     got = secret_scan.find_secrets(spark.createDataFrame([(1, t)], "doc_id long, text string")).collect()
