@@ -2,26 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructType
 
-
-def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
-    """Rows in contiguous, ordered ranges: _part. Written as Spark's range partitioning, so each range fits a task."""
-    return df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+from ..storage import stored
 
 
 def running_sum(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
-    """Adds the sum of value over all rows up to this one, in a total order.
+    """Adds the sum of value over all rows up to this one, in a total order; nulls count as 0.
 
-    Sums within ranges, plus the total of the ranges before (one row a range): no window over the whole table.
+    The rows are dealt to contiguous ranges of the order, and among equals of a hash of the whole row, so that no key makes
+    a range larger than a task can take; each task sorts its range and adds up. The result is stored once: the ranges that
+    the totals are taken from are those that the sums were made in, whatever the columns are and however partitions are
+    joined. Then each range's offset, one row a range, is added. One shuffle, and no window over rows.
     """
-    parts = _ranged(df, order)
-    totals = parts.groupBy("_part").agg(F.sum(value).alias("_total"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return parts.withColumn("_sum", F.sum(value).over(within)).join(F.broadcast(offsets), "_part").withColumn(out, F.col("_sum") + F.col("_before")).drop("_part", "_sum", "_before")
+    part, run, tie = _fresh(df, "_part", "_run", "_tie")
+    whole = isinstance(df.schema[value].dataType, IntegralType)
+    kind, named = (pa.int64(), "long") if whole else (pa.float64(), "double")
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t))
+    ordered = df.withColumn(tie, hashed).repartitionByRange(*order, tie).sortWithinPartitions(*order, tie).drop(tie)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = TaskContext.get().partitionId(), pa.scalar(0, kind)
+        for batch in batches:
+            if batch.num_rows:
+                sums = pc.cumulative_sum(pc.fill_null(batch.column(value).cast(kind), pa.scalar(0, kind)), start=total)
+                total = sums[-1]
+                yield batch.append_column(run, sums).append_column(part, pa.array([at] * batch.num_rows, pa.int64()))
+
+    summed = stored(ordered.mapInArrow(add, StructType(df.schema.fields).add(run, named).add(part, "long")))
+    totals = summed.groupBy(part).agg(F.sum(F.coalesce(F.col(value).cast(named), F.lit(0).cast(named))).alias("_total"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = totals.select(part, F.coalesce(F.sum("_total").over(before), F.lit(0).cast(named)).alias("_before"))
+    return summed.join(F.broadcast(offsets), part).withColumn(out, F.col(run) + F.col("_before")).drop(part, run, "_before")
+
+
+def _fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def numbered(df: DataFrame, order: str, out: str) -> DataFrame:
