@@ -2,44 +2,37 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType
 
-#: Narrow rows (an id, a mark, a few spans) that are broadcast to a join with texts, some 100 MB; more are shuffled.
-BROADCAST_ROWS = 4_000_000
-
+from ..storage import dropped, shared_dir, stored
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["BROADCAST_BYTES", "beside", "dropped", "fresh", "shared_dir", "stored", "table"]
 
+#: A table is broadcast to a join with texts if it takes at most so many bytes, counted in full; larger ones are shuffled.
+BROADCAST_BYTES = 64 << 20
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (a single machine, as in tests) a temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="talkweave-")
-        atexit.register(shutil.rmtree, named, True)
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
 
-
-def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder and read again: lineage ends here and no executor's loss can undo it."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def beside(narrow: DataFrame) -> DataFrame:
-    """A narrow table for a join with texts: stored, counted, and broadcast if it has at most BROADCAST_ROWS rows, so that
-    the texts need no shuffle. Beyond that the join is left to Spark."""
+    """A narrow table for a join with texts: stored, measured, and broadcast if it has at most BROADCAST_BYTES, so that the
+    texts need no shuffle. Beyond that the join is left to Spark. Every row counts with what it holds, arrays included."""
     kept = stored(narrow)
-    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+    size = F.lit(0).cast("long")
+    for f in kept.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (ArrayType, MapType)):
+            size = size + 24 + F.coalesce(F.size(c), F.lit(0)) * (16 + 8 * len(getattr(getattr(f.dataType, "elementType", None), "fields", "x")))
+        elif f.dataType.typeName() in ("string", "binary"):
+            size = size + 24 + F.coalesce(F.octet_length(c), F.lit(0))
+        else:
+            size = size + 16
+    held = kept.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(kept) if held <= BROADCAST_BYTES else kept
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

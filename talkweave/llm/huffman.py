@@ -171,7 +171,9 @@ def encode_ids(docs: DataFrame, path: str = VOCABULARY, longest: int = LONGEST,
     Rows: key, n_tokens, n_bits, payload (binary), checkpoints (array<long>: bit offset of each block of `block` ids),
     exact (whether decoding the payload gives the ids). The code is made from the counts of all documents. Texts are
     tokenised once; their ids, two bytes each, are stored in the shared folder. An empty or null text has no bits
-    and no checkpoints; every row is coded for itself, so repeated rows and null keys change nothing else.
+    and no checkpoints; every row is coded for itself, so repeated rows and null keys change nothing else. A very long
+    text is coded whole, in as many blocks as it needs; an empty table gives an empty result and code; further columns
+    don't matter. `with_header` and `write` keep the lengths beside the rows.
     """
     spark, kind = docs.sparkSession, dict(docs.dtypes)[key]
     tokens = stored(tokenise(docs, path, key=key))
@@ -223,5 +225,32 @@ def decode_ids(coded: DataFrame, lengths: np.ndarray, longest: int = LONGEST, bl
     return coded.select(key, "n_tokens", "payload", "checkpoints").mapInArrow(run, f"`{key}` {kind}, ids array<int>")
 
 
+def with_header(coded: DataFrame, lengths: np.ndarray, key: str = "doc_id") -> DataFrame:
+    """The coded rows, and one row more, the header: a null key, n_tokens -1, and the code lengths, a byte an id, as payload.
+
+    Such a table can be decoded by itself: `decode_table`. Rows with a null key are told from the header by n_tokens.
+    """
+    held = np.trim_zeros(lengths, "b").tobytes()
+    row = coded.sparkSession.createDataFrame([(-1, 8 * len(held), bytearray(held), [], True)], "n_tokens long, n_bits long, payload binary, checkpoints array<long>, exact boolean")
+    return coded.unionByName(row.withColumn(key, F.lit(None).cast(coded.schema[key].dataType)))
+
+
+def decode_table(table_: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key and ids of the rows of a table with its header; an error where it has none, or several."""
+    heads = table_.where("n_tokens = -1").select("payload").take(2)
+    if len(heads) != 1:
+        raise ValueError(f"{len(heads)} headers")
+    lengths = np.zeros(1 << 16, np.uint8)
+    held = np.frombuffer(bytes(heads[0].payload), np.uint8)
+    lengths[: len(held)] = held
+    return decode_ids(table_.where("n_tokens >= 0"), lengths, key=key)
+
+
+def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, key: str = "doc_id") -> None:
+    """The documents' ids, coded, as a Parquet table with its header: what `decode_table(spark.read.parquet(path))` reads."""
+    with_header(*encode_ids(docs, vocabulary, key=key), key=key).write.parquet(path)
+
+
 def op7_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_ids(table(spark, sf_dir, "documents"))[0]
+    """All documents coded, and the header that decodes them."""
+    return with_header(*encode_ids(table(spark, sf_dir, "documents")))

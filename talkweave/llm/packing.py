@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,10 +77,14 @@ def pack_group(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def pieces(docs: DataFrame, capacity: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, piece, start_word, n_words): whole texts, cut into equal pieces where they exceed the capacity."""
+    """(doc_id, piece, start_word, n_words, ticket): whole texts, cut into equal pieces where they exceed the capacity.
+
+    ticket: a number of its own for each piece (task and place in it), whatever ids and texts are.
+    """
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ticket = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
                 first = words(*flat(part.column("text")))[2]
@@ -89,39 +94,48 @@ def pieces(docs: DataFrame, capacity: int, text: str = "text", key: str = "doc_i
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                 start = piece * n[row] // np.maximum(count[row], 1)
                 stop = (piece + 1) * n[row] // np.maximum(count[row], 1)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(stop - start)], ["doc_id", "piece", "start_word", "n_words"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(stop - start), pa.array(ticket + np.arange(len(row)))],
+                    ["doc_id", "piece", "start_word", "n_words", "ticket"],
+                )
+                ticket += len(row)
 
-    return docs.select(docs[key].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {kind}, piece int, start_word long, n_words long")
+    return docs.select(docs[key].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, f"doc_id {kind}, piece int, start_word long, n_words long, ticket long")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(window_id, doc_id, piece, start_word, n_words, offset): which words of which document lie where in which window.
 
     Every word of every text is in one window; no window exceeds the capacity, and those of a group are near-equal. Pieces
-    are dealt by a hash of id and piece into groups of about `group`, so each task packs a bounded number; windows are not
-    shared between groups. Texts without words, and null ones, are in no window; a null id is packed like any other, and
-    repeated rows are packed as often as they come. An empty table gives an empty result; further columns don't matter.
+    are stored with a ticket each and dealt by its hash into groups of about `group`, so that each group is bounded however
+    many rows share an id, a text or neither; windows are not shared between groups. A very long text is cut into many
+    pieces, which go to different groups. Texts without words, and null ones, are in no window; a null id is packed like any
+    other, and repeated rows, also with different texts, are packed as often as they come. An empty table gives an empty
+    result; further columns don't matter.
     """
     cut = stored(pieces(docs, capacity, text, key))
     groups = max(1, -(-cut.count() // group))
     kind = dict(cut.dtypes)["doc_id"]
 
     def run(key_: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["doc_id", "piece"], kind="stable").reset_index(drop=True)
+        g = g.sort_values("ticket", kind="stable").reset_index(drop=True)
         size = g["n_words"].to_numpy()
         g["window_id"] = (int(key_[0]) << 32) + pack_group(size, capacity)
         g = g.sort_values("window_id", kind="stable")
         g["offset"] = g.groupby("window_id")["n_words"].cumsum() - g["n_words"]
         return g[["window_id", "doc_id", "piece", "start_word", "n_words", "offset"]]
 
-    dealt = cut.withColumn("deal", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "piece"), F.lit(groups)))
+    dealt = cut.withColumn("deal", F.pmod(F.xxhash64("ticket"), F.lit(groups)))
     return dealt.groupBy("deal").applyInPandas(run, f"window_id long, doc_id {kind}, piece int, start_word long, n_words long, offset long")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`pack` over the documents table."""
     return pack(table(spark, sf_dir, "documents"))
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: the windows of all documents."""
+    """Pipeline stage, the last: the windows of all documents, (window_id, doc_id, piece, start_word, n_words, offset).
+
+    Null and empty texts are in no window; null ids, repeated rows, clashing columns and empty tables as in `pack`."""
     return pack(docs)
