@@ -8,7 +8,7 @@ from pyspark.sql.types import ArrayType, MapType
 
 from ..storage import dropped, shared_dir, stored
 
-__all__ = ["BROADCAST_BYTES", "beside", "dropped", "fresh", "shared_dir", "stored", "table"]
+__all__ = ["BROADCAST_BYTES", "beside", "dropped", "fits", "fresh", "shared_dir", "stored", "table"]
 
 #: A table is broadcast to a join with texts if it takes at most so many bytes, counted in full; larger ones are shuffled.
 BROADCAST_BYTES = 64 << 20
@@ -18,10 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def beside(narrow: DataFrame) -> DataFrame:
-    """A narrow table for a join with texts: stored, measured, and broadcast if it has at most BROADCAST_BYTES, so that the
-    texts need no shuffle. Beyond that the join is left to Spark. Every row counts with what it holds, arrays included."""
-    kept = stored(narrow)
+def fits(kept: DataFrame) -> bool:
+    """Whether a stored table has at most BROADCAST_BYTES. Every row counts with what it holds, arrays included."""
     size = F.lit(0).cast("long")
     for f in kept.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -31,8 +29,14 @@ def beside(narrow: DataFrame) -> DataFrame:
             size = size + 24 + F.coalesce(F.octet_length(c), F.lit(0))
         else:
             size = size + 16
-    held = kept.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(kept) if held <= BROADCAST_BYTES else kept
+    return (kept.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def beside(narrow: DataFrame) -> DataFrame:
+    """A narrow table for a join with texts: stored, measured, and broadcast if it fits, so that the texts need no shuffle.
+    Beyond that the join is left to Spark."""
+    kept = stored(narrow)
+    return F.broadcast(kept) if fits(kept) else kept
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

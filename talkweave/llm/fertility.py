@@ -8,117 +8,158 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import _bpe
-from ._arrays import flat, slices
-from ._tables import beside, fresh, stored, table
+from ._arrays import as_strings, flat, slices
+from ._tables import beside, fits, stored, table
 from .bpe import VOCABULARY, encoder, ship
 
 #: A vocabulary of pieces with byte fallback, beside the byte-level one that is used for encoding.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-#: Share of labelled good documents that may lie beyond an edge of a band: below for characters a token and entropy
-#: (junk has little of both), above for the share of byte fallback.
-TAILS = {"chars_per_token": 0.001, "entropy": 0.001, "byte_share": 0.0001}
-#: How far an edge is then moved out, as a factor: quantiles this far out are drawn from few documents.
-SLACK = {"chars_per_token": 0.98, "entropy": 0.98, "byte_share": 1.2}
-#: A band is drawn for a language and size (whole part of log2 n_tokens) with at least so many labelled good documents,
-#: and for texts of at least so many tokens.
-LEAST_GOOD, LEAST_TOKENS = 50, 24
-#: Sizes that there are: texts of up to 2^40 tokens.
+#: Share of labelled good documents that may lie beyond an edge of a band: below for characters a token, word characters a
+#: token and entropy (junk has little of them), above for the share of byte fallback.
+TAILS = {"chars_per_token": 0.001, "word_chars": 0.001, "entropy": 0.001, "byte_share": 0.0001}
+#: How far an edge is then moved out, as a factor: quantiles this far out are drawn from few documents. With n of them the
+#: factor grows by n^-WIDER: bands of well-known sizes are narrow, a single document sets no edge at all.
+SLACK, WIDER = {"chars_per_token": 0.02, "word_chars": 0.05, "entropy": 0.02, "byte_share": 0.2}, 0.75
+#: Share of byte fallback, and number of its tokens, that are let pass in any text (a few odd characters).
+LEAST_BYTES, FEW_BYTES = 0.02, 8
+#: Bands are drawn for each language, and for each script, by size (whole part of log2 n_tokens): up to 2^40 tokens.
 LARGEST = 40
-#: Limits that hold for any text, also where no band is known: (least, most) of each measure.
-ANY = {"chars_per_token": (1.05, 12.0), "byte_share": (0.0, 0.5), "spread": (0.15, 1.0)}
-
-
-def known_characters(path: str) -> np.ndarray:
-    """Which code points a piece vocabulary has as a piece; all others fall back to bytes."""
+#: Limits that hold for any text, also where no band is known, the more exactly the more tokens n there are: least
+#: characters a token less 1/n (Latin letters; others), most and 100/n, least spread less 1/n, most byte share.
+ANY = {"latin": 1.05, "other": 0.2, "most": 12.0, "spread": 0.15, "byte_share": 0.5}
+MEASURES = "n_tokens long, chars_per_token double, word_chars double, byte_share double, entropy double, spread double, script string"
+
+
+#: Code points from which a script begins, and its name; letters below 0x250 are Latin.
+SCRIPTS = ((0x250, ""), (0x370, "greek"), (0x400, "cyrillic"), (0x530, ""), (0x590, "hebrew"), (0x600, "arabic"), (0x780, ""), (0x900, "indic"), (0xE00, "thai"), (0xE80, ""), (0x1100, "hangul"), (0x1200, ""), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, ""), (0x3040, "kana"), (0x3100, "han"), (0xAC00, "hangul"), (0xD7B0, ""), (0xF900, "han"), (0xFB00, ""), (0x20000, "han"), (0x30000, ""))
+_NAMES = ["latin", *dict.fromkeys(n for _, n in SCRIPTS if n not in ("", "latin"))]
+_EDGES = np.array([e for e, _ in SCRIPTS])
+_KINDS = np.array([0, *(_NAMES.index(n) if n else -1 for _, n in SCRIPTS)])
+_LETTER = np.zeros(128, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_WORD = _LETTER.copy()
+_WORD[range(48, 58)] = True
+#: Characters of a text that the piece vocabulary takes at once; longer texts are cut at blanks, which no piece spans.
+PIECE_CHARS = 200_000
+
+
+def piece_counts(sp, texts: list[str], first_byte: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the piece vocabulary of each text, and those of them that are single bytes for characters it lacks. White
+    space that is no blank is always spelled as a byte and says nothing about the text: it is not among these."""
+    total, lost = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    plain = np.zeros(256, bool)
+    plain[[9, 10, 11, 12, 13]] = True
+    for k, t in enumerate(texts):
+        while t:
+            cut = t.find(" ", PIECE_CHARS) if len(t) > PIECE_CHARS else -1
+            part, t = (t, "") if cut < 0 else (t[:cut], t[cut + 1 :])
+            ids = np.array(sp.encode(part), np.int64) - first_byte
+            raw = ids[(ids >= 0) & (ids < 256)]
+            total[k] += len(ids)
+            lost[k] += len(raw) - int(plain[raw].sum())
+    return total, lost
+
+
+def scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The script of most letters of each text, as an index of _NAMES (Latin where there is none; ties go to the first)."""
+    counts = np.zeros((len(offsets) - 1, len(_NAMES)), np.int64)
+    at = np.concatenate([[0], np.cumsum(np.where(data < 128, _LETTER[data & 127], False))])
+    counts[:, 0] = at[offsets[1:]] - at[offsets[:-1]]
+    many = np.flatnonzero(data >= 0xC3)
+    if len(many):
+        kind = _KINDS[np.searchsorted(_EDGES, _bpe.code_points(data, many), "right")]
+        known = kind >= 0
+        text = np.searchsorted(offsets, many[known], "right") - 1
+        np.add.at(counts, (text, kind[known]), 1)
+    return counts.argmax(1)
+
+
+def measured_batch(e: _bpe.Encoder, sp, first_byte: int, column: pa.Array) -> dict[str, pa.Array]:
+    """The measures of each text of a column."""
+    size = np.int64(len(e.v))
+    data, offsets = flat(column)
+    ids, first = e.encode(data, offsets)
+    n = np.diff(first)
+    doc = np.repeat(np.arange(len(n)), n)
+    _, count = np.unique(doc * size + ids, return_counts=True)
+    # A text's distinct tokens follow one another, so sums over them are differences of running sums.
+    ends = np.searchsorted(np.cumsum(count), first, "right")
+    run_sum = np.concatenate([[0.0], np.cumsum(count * np.log2(count))])
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    pieces, lost = piece_counts(sp, as_strings(column).to_pylist(), first_byte)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        entropy = np.maximum(np.log2(n) - (run_sum[ends[1:]] - run_sum[ends[:-1]]) / n, 0)
+        spread = np.where(n > 1, np.minimum(entropy / np.log2(np.minimum(n, size)), 1), 1.0)
+        per = (chars[offsets[1:]] - chars[offsets[:-1]]) / n
+        share = lost / pieces
+        worded = np.concatenate([[0], np.cumsum(np.where(data < 128, _WORD[data & 127], (data & 0xC0) != 0x80))])
+        word_chars = (worded[offsets[1:]] - worded[offsets[:-1]]) / n
+    held = lambda x: pa.array(np.round(x, 6), pa.float64(), mask=n == 0)
+    names = pa.array([_NAMES[k] for k in scripts(data, offsets)], pa.string())
+    return {"n_tokens": pa.array(n, pa.int64()), "chars_per_token": held(per), "word_chars": held(word_chars), "byte_share": held(share), "entropy": held(entropy), "spread": held(spread), "script": names}
+
+
+def measures(docs: DataFrame, path: str = VOCABULARY, pieces: str = PIECES, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` of each row (the id) and n_tokens, chars_per_token, word_chars, byte_share, entropy, spread, script.
+
+    word_chars: letters, digits and all characters beyond ASCII, a token. byte_share: tokens of the piece vocabulary that are bytes of characters it lacks, of all its tokens. entropy: bits, of the
+    byte-level tokens' distribution in the text. spread: entropy against the most that so many tokens can have,
+    log2(min(n_tokens, vocabulary)). script: that of most letters. An empty or null text has 0 tokens and null measures.
+    Kept columns whose names are those of measures come first, so rename them before.
+    """
     import sentencepiece
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    known = np.zeros(0x110000, bool)
-    for i in range(sp.get_piece_size()):
-        if len(piece := sp.id_to_piece(i)) == 1 and not sp.is_unknown(i):
-            known[ord(piece)] = True
-    known[ord(" ")] = True
-    return known
+    spark, keep = docs.sparkSession, keep or ["doc_id"]
+    with open(pieces, "rb") as f:
+        model = f.read()
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    first_byte = next(i for i in range(sp.get_piece_size()) if sp.is_byte(i))
+    shipped, proto = ship(spark, path), spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, own = encoder(path, shipped), sentencepiece.SentencePieceProcessor(model_proto=proto.value)
+        for batch in batches:
+            for part in slices(batch, "_text_"):
+                found = measured_batch(e, own, first_byte, part.column("_text_"))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found.values()], schema=out)
 
+    kept = docs.select(*keep)
+    schema = StructType([*kept.schema.fields, *StructType.fromDDL(MEASURES).fields])
+    out = to_arrow_schema(schema)
+    return docs.select(*keep, docs[text].alias("_text_")).mapInArrow(run, schema)
 
-def measures(docs: DataFrame, path: str = VOCABULARY, pieces: str = PIECES, text: str = "text", key: str = "doc_id", carry: str | None = None) -> DataFrame:
-    """key, n_tokens, chars_per_token, byte_share, entropy, spread of each row.
 
-    byte_share: bytes that the piece vocabulary spells out for characters it lacks, against these and the tokens.
-    entropy: bits, of the token distribution in the text. spread: entropy against the most that so many tokens can
-    have, log2(min(n_tokens, vocabulary)). An empty or null text has 0 tokens and null measures.
-    carry: a string column to keep beside the key.
-    """
-    spark = docs.sparkSession
-    shipped, kind = ship(spark, path), dict(docs.dtypes)[key]
-    known = spark.sparkContext.broadcast(np.packbits(known_characters(pieces)))
+def draw_bands(good: DataFrame, lang: str = "lang") -> DataFrame:
+    """Bands (band, band_size, low_chars, low_words, low_entropy, high_bytes) from every row of good, measured documents.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, shipped)
-        has = np.unpackbits(known.value).astype(bool)
-        size = np.int64(len(e.v))
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = flat(part.column("text"))
-                ids, first = e.encode(data, offsets)
-                n = np.diff(first)
-                doc = np.repeat(np.arange(len(n)), n)
-                _, count = np.unique(doc * size + ids, return_counts=True)
-                # A text's distinct tokens follow one another, so sums over them are differences of running sums.
-                ends = np.searchsorted(np.cumsum(count), first, "right")
-                run_sum = np.concatenate([[0.0], np.cumsum(count * np.log2(count))])
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    entropy = np.maximum(np.log2(n) - (run_sum[ends[1:]] - run_sum[ends[:-1]]) / n, 0)
-                    spread = np.where(n > 1, np.minimum(entropy / np.log2(np.minimum(n, size)), 1), 1.0)
-                lead = (data & 0xC0) != 0x80
-                chars = np.concatenate([[0], np.cumsum(lead)])
-                many = np.flatnonzero(data >= 0xC0)
-                strange = np.zeros(len(data) + 1, np.int64)
-                if len(many):
-                    b0 = data[many]
-                    cost = np.where(b0 >= 0xF0, 4, np.where(b0 >= 0xE0, 3, 2))
-                    strange[many + 1] = np.where(has[_bpe.code_points(data, many)], 0, cost)
-                ascii_lack = ~has[:128]
-                low = np.flatnonzero(data < 128)
-                strange[low + 1] += ascii_lack[data[low]]
-                lost = np.cumsum(strange)
-                lost = lost[offsets[1:]] - lost[offsets[:-1]]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    per = (chars[offsets[1:]] - chars[offsets[:-1]]) / n
-                    share = lost / (lost + n)
-                none = n == 0
-                column = lambda x: pa.array(np.round(x, 6), pa.float64(), mask=none)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), column(per), column(share), column(entropy), column(spread), *part.columns[2:]],
-                    [key, "n_tokens", "chars_per_token", "byte_share", "entropy", "spread", *kept],
-                )
-
-    kept = [carry] if carry else []
-    schema = f"`{key}` {kind}, n_tokens long, chars_per_token double, byte_share double, entropy double, spread double" + "".join(f", `{c}` string" for c in kept)
-    return docs.select(key, docs[text].alias("text"), *kept).mapInArrow(run, schema)
-
-
-def draw_bands(measured: DataFrame, good: str = "good", lang: str = "lang") -> DataFrame:
-    """Bands (band_lang, band_size, low_chars, low_entropy, high_bytes) from every measured row that is labelled good.
-
-    measured: the columns of `measures`, the language and a boolean. A size of text with too few good documents has the
-    language's limits for all sizes, and the least entropy of the next smaller size that has its own (entropy rises with
-    size). The result has LARGEST rows a language at most. Null languages have no band.
+    band: "l:" and a language, or "s:" and a script (for texts of languages without a good document, or of none). Each size
+    has the edges of its own documents, moved out the further the fewer they are. Sizes without any have those of the next
+    smaller size; below the smallest, characters a token fall by a tenth for each halving, entropy by a bit, and byte shares
+    double. Entropy's edge never falls with size. Measures are rounded to four places, so that a quantile's memory is bounded
+    however many documents there are.
     """
-    of = measured.where(F.col(good) & F.col(lang).isNotNull() & (F.col("n_tokens") >= LEAST_TOKENS))
-    limits = {"low_chars": ("chars_per_token", TAILS["chars_per_token"]), "low_entropy": ("entropy", TAILS["entropy"]), "high_bytes": ("byte_share", 1 - TAILS["byte_share"])}
-    drawn = [(F.percentile(m, F.lit(q)) * SLACK[m]).alias(n) for n, (m, q) in limits.items()]
-    enough = F.count(F.lit(1)) >= LEAST_GOOD
-    sizes = of.groupBy(F.col(lang).alias("band_lang"), size_class().alias("band_size")).agg(*drawn, enough.alias("enough")).where("enough")
-    whole = of.groupBy(F.col(lang).alias("band_lang")).agg(*(c.alias(f"all_{n}") for c, n in zip(drawn, limits)), enough.alias("enough")).where("enough").drop("enough")
-    grid = whole.withColumn("band_size", F.explode(F.sequence(F.lit(0), F.lit(LARGEST - 1)))).join(sizes, ["band_lang", "band_size"], "left")
-    smaller = Window.partitionBy("band_lang").orderBy("band_size")
-    return grid.select(
-        "band_lang", "band_size", F.coalesce("low_chars", "all_low_chars").alias("low_chars"), F.last("low_entropy", ignorenulls=True).over(smaller).alias("low_entropy"),
-        F.coalesce("high_bytes", "all_high_bytes").alias("high_bytes"),
+    of = good.where("n_tokens > 0").withColumn("band", F.explode(F.array(F.concat(F.lit("l:"), lang), F.concat(F.lit("s:"), "script")))).where("band IS NOT NULL")
+    limits = {"low_chars": ("chars_per_token", -1), "low_words": ("word_chars", -1), "low_entropy": ("entropy", -1), "high_bytes": ("byte_share", 1)}
+    quantile = lambda m, side: F.percentile(F.round(m, 4), F.lit(TAILS[m] if side < 0 else 1 - TAILS[m]))
+    wider = F.pow(F.count(F.lit(1)), F.lit(-WIDER))
+    drawn = [(quantile(m, side) * F.greatest(1 + side * (SLACK[m] + wider), F.lit(0.0))).alias(n) for n, (m, side) in limits.items()]
+    sizes = of.groupBy("band", size_class().alias("band_size")).agg(*drawn)
+    grid = sizes.select("band").distinct().withColumn("band_size", F.explode(F.sequence(F.lit(0), F.lit(LARGEST - 1)))).join(sizes, ["band", "band_size"], "left")
+    by_size = Window.partitionBy("band").orderBy("band_size")
+    below, above = by_size.rowsBetween(Window.unboundedPreceding, 0), by_size.rowsBetween(0, Window.unboundedFollowing)
+    gap = F.first(F.when(F.col("low_chars").isNotNull(), F.col("band_size")), ignorenulls=True).over(above) - F.col("band_size")
+    edge = lambda n, moved: F.coalesce(F.last(n, ignorenulls=True).over(below), moved(F.first(n, ignorenulls=True).over(above)))
+    shrunk = lambda c: c * F.pow(F.lit(0.9), "gap")
+    filled = grid.withColumn("gap", gap).select(
+        "band", "band_size", edge("low_chars", shrunk).alias("low_chars"), edge("low_words", shrunk).alias("low_words"),
+        edge("low_entropy", lambda c: c - F.col("gap")).alias("low_entropy"), edge("high_bytes", lambda c: c * F.pow(F.lit(2.0), "gap")).alias("high_bytes"),
     )
+    few = F.greatest(F.lit(LEAST_BYTES), F.lit(FEW_BYTES) / F.pow(F.lit(2.0), "band_size"))
+    return filled.withColumns({"low_entropy": F.max("low_entropy").over(below), "high_bytes": F.greatest("high_bytes", few)})
 
 
 def size_class() -> Column:
@@ -126,53 +167,77 @@ def size_class() -> Column:
 
 
 def judge(measured: DataFrame, bands: DataFrame, lang: str = "lang") -> DataFrame:
-    """Adds reject (boolean) and reason (the first measure outside its limits; "empty" without tokens; else null).
+    """Adds reason (the first measure outside its limits; "empty" without tokens; else null) and reject (boolean).
 
-    Texts of fewer than LEAST_TOKENS tokens, and those of a language with fewer than LEAST_GOOD
-    labelled good documents, have only ANY's limits.
+    Texts of every size are held against ANY's limits and the band of their language and size, or, where their language is
+    null or unknown, of their script and size; without either, ANY's limits alone decide.
     """
-    long = F.col("n_tokens") >= LEAST_TOKENS
-    reason = F.when(F.col("n_tokens") == 0, F.lit("empty"))
-    for m, (least, most) in ANY.items():
-        reason = reason.when(long & ((F.col(m) < least) | (F.col(m) > most)), F.lit(m))
+    names = ["band", "band_size", "low_chars", "low_words", "low_entropy", "high_bytes"]
+    renamed = lambda p: bands.where(F.col("band").startswith(p)).select(*(F.col(n).alias(f"{p}{n}") for n in names))
+    size = size_class()
+    joined = measured.join(_hinted(renamed("l:"), bands), (F.concat(F.lit("l:"), lang) == F.col("`l:band`")) & (size == F.col("`l:band_size`")), "left")
+    joined = joined.join(_hinted(renamed("s:"), bands), (F.concat(F.lit("s:"), "script") == F.col("`s:band`")) & (size == F.col("`s:band_size`")), "left")
+    limit = lambda n: F.when(F.col("`l:band`").isNotNull(), F.col(f"`l:{n}`")).otherwise(F.col(f"`s:{n}`"))
+    n, chars = F.col("n_tokens"), F.col("chars_per_token")
+    least = F.when(F.col("script") == "latin", ANY["latin"]).otherwise(ANY["other"])
     reason = (
-        reason.when(long & (F.col("chars_per_token") < F.col("low_chars")), F.lit("chars_per_token"))
-        .when(long & (F.col("entropy") < F.col("low_entropy")), F.lit("entropy"))
-        .when(long & (F.col("byte_share") > F.col("high_bytes")), F.lit("byte_share"))
+        F.when(n == 0, F.lit("empty"))
+        .when((chars < least - 1 / n) | (chars > ANY["most"] + 100 / n), F.lit("chars_per_token"))
+        .when(F.col("byte_share") > F.greatest(F.lit(ANY["byte_share"]), FEW_BYTES / n), F.lit("byte_share"))
+        .when(F.col("spread") < ANY["spread"] - 1 / n, F.lit("spread"))
+        .when(chars < limit("low_chars"), F.lit("chars_per_token"))
+        .when(F.col("word_chars") < limit("low_words"), F.lit("word_chars"))
+        .when(F.col("entropy") < limit("low_entropy"), F.lit("entropy"))
+        .when(F.col("byte_share") > limit("high_bytes"), F.lit("byte_share"))
     )
-    matches = (F.col(lang) == F.col("band_lang")) & (size_class() == F.col("band_size"))
-    joined = measured.join(F.broadcast(bands), matches, "left")  # languages times sizes, whatever the documents' number
-    return joined.withColumn("reason", reason).withColumn("reject", F.col("reason").isNotNull()).select(*measured.columns, "reason", "reject")
+    return joined.withColumn("reason", reason).withColumn("reject", F.col("reason").isNotNull()).select(*(F.col(f"`{c}`") for c in measured.columns), "reason", "reject")
+
+
+def _hinted(part: DataFrame, bands: DataFrame) -> DataFrame:
+    """A part of the bands with their own hint: broadcast where their size was checked."""
+    return part.hint("broadcast") if getattr(bands, "_small", False) else part
+
+
+def known_good(labels: DataFrame) -> DataFrame:
+    """(good_id): ids that labels call good (quality 1)."""
+    return labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("good_id")).where(F.col("good_id").isNotNull()).distinct()
+
+
+def checked(bands: DataFrame) -> DataFrame:
+    """The bands, stored, and marked as small where `_tables.fits` finds them so (languages times sizes, whatever the number
+    of documents, but a column of languages may hold anything)."""
+    kept = stored(bands)
+    kept._small = fits(kept)
+    return kept
 
 
 def rules(docs: DataFrame, labels: DataFrame, path: str = VOCABULARY, pieces: str = PIECES) -> DataFrame:
-    """Measures and verdict of each row of docs (doc_id, text, lang): the columns of `measures`, lang, reason, reject.
+    """Measures and verdict of each row of docs (doc_id, text, lang): doc_id, lang, the measures, reason, reject.
 
     labels (doc_id, quality): the documents of quality 1 draw the bands; all of them are used. Rows with a null id are
-    judged but draw nothing, and repeated rows count as often as they come. The texts are read once: measures, a few
-    numbers a row, are stored before bands are drawn. An empty table gives an empty result; without labels, or with too
-    few, only ANY's limits reject.
+    judged but draw nothing; repeated rows, also with different texts, are judged each for itself and draw as often as they
+    come. A very long text is measured whole. The texts are read once: measures, a few numbers a row, are stored before bands
+    are drawn. An empty table gives an empty result; without labels, only ANY's limits reject. Further columns don't matter.
     """
-    return judge(*judged_parts(docs, labels, path, pieces))
-
-
-def judged_parts(docs: DataFrame, labels: DataFrame, path: str = VOCABULARY, pieces: str = PIECES) -> tuple[DataFrame, DataFrame]:
-    """The stored measures with the language, and the stored bands."""
-    measured = stored(measures(docs, path, pieces, carry="lang"))
-    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("good_id")).where(F.col("good_id").isNotNull()).distinct()
-    bands = stored(draw_bands(measured.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").withColumn("good", F.lit(True))))
-    return measured, bands
+    measured = stored(measures(docs, path, pieces, keep=["doc_id", "lang"]))
+    return judge(measured, checked(draw_bands(measured.join(beside(known_good(labels)), F.col("doc_id") == F.col("good_id"), "left_semi"))))
 
 
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`rules` over the documents table."""
     return rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def reject_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep, all columns. Rows with a null id are judged too: the verdict
-    is joined by id where there is one, and a null id's row is kept unless its text is empty."""
-    verdict = rules(docs, table(spark, sf_dir, "labels"))
-    (id_,) = fresh(docs, "_bad")
-    bad = beside(verdict.where("reject AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_)).distinct())
-    kept = docs.where(F.col("doc_id").isNotNull() | (F.trim(F.coalesce("text", F.lit(""))) != ""))
-    return kept.join(bad, F.col("doc_id") == F.col(id_), "left_anti")
+    """Pipeline stage: the rows that the rules keep, all columns.
+
+    Labelled good documents are measured first and draw the bands; then every row is measured and judged where it is, so a
+    null id, an id that repeats with another text, or clashing columns change nothing, and texts aren't shuffled. Empty and
+    null texts go; repeated rows stay or go together; an empty table stays empty.
+    """
+    good = docs.join(beside(known_good(table(spark, sf_dir, "labels"))), F.col("doc_id") == F.col("good_id"), "left_semi")
+    bands = checked(draw_bands(measures(good, keep=["lang"])))
+    names = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    held = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    judged = judge(measures(held, text=names["text"], keep=list(names.values())), bands, names["lang"])
+    return judged.where(~F.col("reject")).select(*(F.col(n).alias(c) for c, n in names.items()))
