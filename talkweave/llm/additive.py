@@ -17,8 +17,11 @@ from ._tables import stored, table
 BOOKS, WORDS, BEAM = 16, 64, 4
 #: Neighbours that are returned, and candidates of each block and query whose exact distances bound the rest.
 NEIGHBOURS, RERANK = 10, 400
-#: Vectors of a block, and vectors that the first codebooks are made from (all vectors then refine them).
-BLOCK, SAMPLE = 8192, 20_000
+#: Queries: every vector whose id this divides. Vectors of a block, vectors that the first codebooks are made from (all
+#: vectors then refine them), and cells at most; a cell that outgrows a block is dealt to several.
+EVERY, BLOCK, SAMPLE, CELLS = 20, 8192, 20_000, 4096
+#: Rounds in which all vectors move the cells' centres.
+CELL_ROUNDS = 4
 
 
 @dataclass
@@ -113,14 +116,45 @@ def refined(vectors: DataFrame, books: np.ndarray) -> np.ndarray:
     return np.linalg.solve(gram + np.eye(m * k), cross + books.reshape(m * k, d)).reshape(m, k, d).astype(np.float32)
 
 
+def placed_cells(vectors: DataFrame, n: int, rounds: int = CELL_ROUNDS) -> np.ndarray:
+    """Centres of min(n / BLOCK, CELLS) cells by Lloyd's steps over all vectors, from that many of them chosen by a hash of
+    the id. Each task adds up its vectors by cell; CELLS rows a task at most are summed in Spark, CELLS come to the driver."""
+    k = min(max(1, -(-n // BLOCK)), CELLS)
+    start = vectors.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(k).collect()
+    cells = np.stack([np.array(r.embedding, np.float32) for r in start])
+    spark = vectors.sparkSession
+    for _ in range(rounds if k > 1 else 0):
+        shipped = spark.sparkContext.broadcast(cells)
+
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            own = shipped.value
+            sums, count = np.zeros(own.shape), np.zeros(len(own), np.int64)
+            for batch in batches:
+                for s in range(0, batch.num_rows, 2000):
+                    x = _matrix(batch.column(0).slice(s, 2000))
+                    near = np.argmin((own**2).sum(1) - 2 * x @ own.T, axis=1)
+                    np.add.at(sums, near, x)
+                    count += np.bincount(near, minlength=len(own))
+            of = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(count[of]), pa.array([sums[i].tobytes() for i in of], pa.binary())], ["cell", "n", "sums"])
+
+        def add(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"cell": [key[0]], "n": [g["n"].sum()], "sums": [np.sum([np.frombuffer(x) for x in g["sums"]], axis=0).tobytes()]})
+
+        moved = cells.copy()
+        for r in vectors.select("embedding").mapInArrow(run, "cell long, n long, sums binary").groupBy("cell").applyInPandas(add, "cell long, n long, sums binary").collect():
+            moved[r.cell] = np.frombuffer(r.sums) / r.n
+        cells = moved
+    return cells
+
+
 def train(vectors: DataFrame, n: int) -> Quantiser:
-    """From a sample of SAMPLE vectors at most, chosen by a hash of the id; all vectors then refine the codebooks. The
-    number of cells grows with the number of vectors, n / BLOCK."""
-    rng = np.random.default_rng(1)
+    """The first codebooks from a sample of SAMPLE vectors at most, chosen by a hash of the id (the documented bound); all
+    vectors then refine the codebooks and place the cells, whose number doesn't depend on the sample."""
     some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
     x = np.stack(some["embedding"].to_numpy()).astype(np.float32)
-    books = refined(vectors, first_books(x, rng))
-    return Quantiser(books, kmeans(x, max(1, -(-n // BLOCK)), rng))
+    books = refined(vectors, first_books(x, np.random.default_rng(1)))
+    return Quantiser(books, placed_cells(vectors, n))
 
 
 def coded(vectors: DataFrame, q: Quantiser) -> DataFrame:
@@ -198,15 +232,17 @@ def nearest(books: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, x: np
     return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_d)
 
 
-def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK) -> DataFrame:
-    """(vec_id, rank, neighbour_id, distance): the k nearest other vectors of every vector by Euclidean distance.
+def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK, every: int = 1) -> DataFrame:
+    """(vec_id, rank, neighbour_id, distance): the k nearest other vectors, by Euclidean distance, of every vector whose id
+    `every` divides.
 
-    Every vector first searches its own cell; the distance of its k-th neighbour there bounds what other cells can add.
+    Each query first searches its own cell; the distance of its k-th neighbour there bounds what other cells can add.
     It then goes to each cell whose ball (centre and radius over all its vectors) comes nearer than that, so no cell is left out
     that could hold a neighbour: on clustered vectors few are visited, on vectors without structure nearly all. Cells meet
-    queries in blocks of about BLOCK each. Equal distances rank by id. Rows with a null id, a null or empty vector, a null
-    or non-finite component, or a dimension other than the commonest are left out; rows that repeat an id count as one.
-    With k or fewer vectors every other one is returned; an empty table gives an empty result.
+    queries in blocks of about BLOCK each, and a block of vectors is sent as often as blocks of queries want it. Equal
+    distances rank by id. Rows with a null id, a null or empty vector, a null or non-finite component, or a dimension other
+    than the commonest are left out; rows that repeat an id count as one, the one of the least vector. With k or fewer
+    vectors every other one is returned; an empty table gives an empty result; further columns don't matter.
     """
     spark = vectors.sparkSession
     schema = "vec_id long, rank int, neighbour_id long, distance double"
@@ -219,8 +255,8 @@ def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK) ->
     n = fine.count()
     quantiser = train(fine, n)
     points = stored(coded(fine, quantiser))
+    asked = points.where(F.col("vec_id") % every == 0).select("vec_id", "embedding", "cell")
     shipped = spark.sparkContext.broadcast(quantiser)
-    blocks = max(1, -(-n // BLOCK))
 
     def search(key: tuple, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -230,22 +266,24 @@ def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK) ->
         at, i, d = nearest(shipped.value.books, np.stack(q["embedding"]).astype(np.float32), q["vec_id"].to_numpy(), np.stack(c["c_embedding"]).astype(np.float32), ids, codes, c["c_norm"].to_numpy(), c["c_error"].to_numpy(), k, rerank)
         return pd.DataFrame({"vec_id": q["vec_id"].to_numpy()[at], "neighbour_id": i, "d2": d})
 
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    # A cell that outgrows a block is dealt out to several; each query visits them all.
+    # One row a cell, CELLS at most.
     pieces = stored(points.groupBy("cell").agg(F.max("gap").alias("radius"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("pieces")))
-    dealt = points.join(pieces.drop("radius"), "cell").withColumn("piece", F.pmod(F.xxhash64("vec_id", F.lit(7)), "pieces").cast("int"))
+    dealt = points.join(F.broadcast(pieces.drop("radius")), "cell").withColumn("piece", F.pmod(F.xxhash64("vec_id", F.lit(7)), "pieces").cast("int"))
 
     def visit(queries: DataFrame) -> DataFrame:
-        """queries: vec_id, embedding, cell to visit, pieces."""
-        q = queries.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("share", part("vec_id")).drop("pieces")
-        shares = q.select("cell", "piece", "share").distinct()
-        c = dealt.select("vec_id", "embedding", "codes", "norm", "error", "cell", "piece").join(shares, ["cell", "piece"])
+        """queries: vec_id, embedding, cell to visit."""
+        wanted = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("shares")).join(F.broadcast(pieces.drop("radius")), "cell")
+        wanted = F.broadcast(stored(wanted))  # one row a cell
+        q = queries.join(wanted, "cell").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("share", F.pmod(F.xxhash64("vec_id"), "shares").cast("int")).drop("pieces", "shares")
+        c = dealt.drop("pieces").join(wanted.select("cell", "shares"), "cell").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
         c = c.select(*(F.col(x).alias(f"c_{x}") for x in ("vec_id", "embedding", "codes", "norm", "error", "cell", "piece", "share")))
         return q.groupBy("cell", "piece", "share").cogroup(c.groupBy("c_cell", "c_piece", "c_share")).applyInPandas(search, "vec_id long, neighbour_id long, d2 double")
 
-    own = stored(visit(points.join(pieces.drop("radius"), "cell").select("vec_id", "embedding", "cell", "pieces")))
+    own = stored(visit(asked))
     best = Window.partitionBy("vec_id").orderBy("d2", "neighbour_id")
     bound = own.withColumn("n", F.row_number().over(best)).where(F.col("n") == k).select("vec_id", F.sqrt("d2").alias("bound"))
+    radius = {r.cell: r.radius for r in pieces.collect()}  # CELLS at most
+    reaches = np.array([radius.get(i, -np.inf) for i in range(len(quantiser.cells))])
 
     def targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = shipped.value.cells.astype(np.float64)
@@ -253,18 +291,17 @@ def neighbours(vectors: DataFrame, k: int = NEIGHBOURS, rerank: int = RERANK) ->
             for s in range(0, batch.num_rows, 1000):
                 p = batch.slice(s, 1000)
                 x = _matrix(p.column("embedding")).astype(np.float64)
-                gap = np.sqrt(np.maximum((cells**2).sum(1) - 2 * x @ cells.T + (x**2).sum(1)[:, None], 0))
+                gap = np.sqrt(np.maximum((cells**2).sum(1) - 2 * x @ cells.T + (x**2).sum(1)[:, None], 0)) - reaches
                 gap[np.arange(len(x)), p.column("cell").to_numpy()] = np.inf
-                row, cell = np.nonzero(np.isfinite(gap))
-                yield pa.RecordBatch.from_arrays([p.column("vec_id").take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(gap[row, cell])], ["vec_id", "cell", "gap"])
+                row, cell = np.nonzero(gap <= p.column("bound").to_numpy()[:, None] + 1e-4)
+                yield pa.RecordBatch.from_arrays([p.column("vec_id").take(pa.array(row)), p.column("embedding").take(pa.array(row)), pa.array(cell.astype(np.int32))], ["vec_id", "embedding", "cell"])
 
-    gaps = points.join(bound, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    reach = points.select("vec_id", "embedding", "cell").mapInArrow(targets, "vec_id long, cell int, gap double")
-    reach = reach.join(pieces, "cell").join(gaps.select("vec_id", "bound"), "vec_id").where(F.col("gap") - F.col("radius") <= F.col("bound") + 1e-4)
-    others = visit(reach.select("vec_id", "cell", "pieces").join(points.select("vec_id", "embedding"), "vec_id"))
+    bounded = asked.join(bound, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(1e300)))
+    others = visit(bounded.mapInArrow(targets, "vec_id long, embedding array<float>, cell int"))
     ranked = own.unionByName(others).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("vec_id", F.col("rank").cast("int").alias("rank"), "neighbour_id", F.sqrt("d2").alias("distance"))
 
 
 def op1_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours(table(spark, sf_dir, "embeddings"))
+    """The ten nearest of all vectors to every vector whose id is divisible by EVERY."""
+    return neighbours(table(spark, sf_dir, "embeddings"), every=EVERY)
