@@ -2,7 +2,9 @@
 
 Anchors (a key and a word position) are chosen by content, so that a repeat holds the same anchors wherever it occurs.
 Only keys, ids and positions are shuffled for all documents. Around anchors whose key occurs twice, the words go to the
-home of that key, the document where it occurs first; there, repeats are searched exactly.
+home of that key, the least id of a document that has it; there, repeats are searched exactly, a bounded number of words at
+a time. A home of more than HOT anchors (a passage that many documents share) isn't brought together: its windows are
+named by 128-bit hashes, each task finds the first place of each among its own, and only those firsts meet.
 """
 
 from __future__ import annotations
@@ -14,9 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrays import U, flat, hash_spans, mix, released, slices, words
+from ._arrays import U, flat, hash_spans, mix, ranges, released, slices, words
+from ._tables import beside, dropped, stored
 
-Anchors = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: Anchors that one home takes; and bytes of words (eight each) that are searched together, beyond one such home.
+HOT, TOGETHER = 20_000, 16_000_000
+
+Anchors = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 Search = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
 
 
@@ -45,99 +51,147 @@ def tokens_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(data, starts, ends), first
 
 
-def repeats(docs: DataFrame, anchors: Anchors, search: Search, length: int, left: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, start_word, end_word, n_words, source_doc_id): spans of words that occurred before.
+def repeats(docs: DataFrame, anchors: Anchors, search: Search, length: int, left: int, merge: Callable[[DataFrame], DataFrame] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, start_word, end_word, n_words, source_doc_id): spans of words that occurred before. See `spans`."""
+    return spans(docs, anchors, search, length, left, merge, text, key).drop("version")
+
+
+def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left: int, merge: Callable[[DataFrame], DataFrame] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, version, start_word, end_word, n_words, source_doc_id): spans of words that occurred before.
 
     A word belongs to a span if some `length` words around it also start at an earlier place: in a document of smaller
-    id, or earlier in the same one. Places are compared by id and position. Spans are as long as possible, end_word is the
-    first word after the span, and source_doc_id the document where the span's first `length` words occur first.
-    left: how many words before an anchor such a window can start. Words are runs of characters other than ASCII white
-    space. Texts of fewer words, empty or null texts and rows without an id have no spans; rows that repeat an id count as
-    one document; an empty table gives an empty result; further columns don't matter. ids must be integers.
+    id, or earlier in the same one. Places are compared by id, version and position. Spans are as long as possible, end_word
+    is the first word after the span, and source_doc_id the document where the span's first `length` words occur first.
+    left: how many words before an anchor such a window can start. merge: joins shared anchors (key, n, doc_id, version, at,
+    reach, size, home) that always come together. Words are runs of characters other than ASCII white space. Texts of fewer
+    words, empty or null texts and rows without an id have no spans; rows that repeat an id and text count as one document,
+    an id's different texts as several, told apart by version, a hash of the text; a very long text is one row like any
+    other; an empty table gives an empty result; further columns don't matter. ids must be integers.
     """
-    plain = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), docs[text].alias("text"))
+    plain = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(docs[text]).alias("version"), docs[text].alias("text"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, first = tokens_of(part)
-                keys, at = anchors(tokens, first)
+                keys, at, size = anchors(tokens, first)
                 doc = np.searchsorted(first, at, "right") - 1
-                ids = part.column("doc_id").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[doc]), pa.array((at - first[doc]).astype(np.int32))], ["key", "doc_id", "at"])
-
-    marked = plain.mapInArrow(mark, "key long, doc_id long, at int")
-    same = Window.partitionBy("key")
-    place = F.struct("doc_id", "at")
-    shared = marked.withColumns({"low": F.min(place).over(same), "high": F.max(place).over(same)}).where("low <> high")
-    wanted = shared.groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("low.doc_id").alias("home"))).alias("places"))
+                ids, versions = (part.column(c).to_numpy()[doc] for c in ("doc_id", "version"))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids), pa.array(versions), pa.array((at - first[doc]).astype(np.int32)), pa.array(size.astype(np.int32))], ["key", "doc_id", "version", "at", "size"])
+
+    marked = stored(plain.mapInArrow(mark, "key long, doc_id long, version long, at int, size int"))
+    place = F.xxhash64("doc_id", "version", "at")
+    # Added up in each task before anything is sent, so that a key of a third of all rows is no hot one.
+    known = marked.groupBy("key").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
+    shared = stored(marked.join(beside(known.where("low <> high").select("key", "home", "n")), "key").withColumn("reach", F.col("at")))
+    dropped(marked)
+    if merge:
+        shared = merge(shared)
+    hot = shared.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("home", F.lit(True).alias("hot"))
+    hot = stored(hot)  # at most the anchors' number by HOT
+    is_hot = not hot.isEmpty()
+    placed = shared.join(F.broadcast(hot), "home", "left") if is_hot else shared.withColumn("hot", F.lit(None).cast("boolean"))
+
+    def pieces(which: str) -> DataFrame:
+        """Texts with the places of their anchors in homes that are hot or not."""
+        wanted = placed.where(f"hot IS {which}").groupBy("doc_id", "version").agg(F.collect_set(F.struct("at", "reach", "home")).alias("places"))
+        return plain.join(wanted, ["doc_id", "version"])
+
+    def segments(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Tokens of the texts; text, home, first and end token of each segment around anchors; first token of each text."""
+        tokens, first = tokens_of(part)
+        places = part.column("places")
+        count = places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        at, reach, home = (places.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1, 2))
+        doc = np.repeat(np.arange(len(count)), count)
+        low = np.maximum(at - left, 0) + first[doc]
+        high = np.minimum(reach + length + first[doc], first[doc + 1])
+        order = np.lexsort((low, home, doc))
+        doc, home, low, high = doc[order], home[order], low[order], high[order]
+        if not len(doc):
+            return tokens, doc, home, low, high, first
+        # Overlapping or touching pieces of one document and home become one segment.
+        group = np.concatenate([[True], (doc[1:] != doc[:-1]) | (home[1:] != home[:-1])])
+        number = np.cumsum(group)
+        wide = np.int64(len(tokens) + 1)
+        far = np.maximum.accumulate(high + number * wide) - number * wide
+        new = group.copy()
+        new[1:] |= low[1:] > far[:-1]
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(doc)) - 1
+        return tokens, doc[head], home[head], low[head], far[last], first
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                tokens, first = tokens_of(part)
-                places = part.column("places")
-                count = places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                inner = places.flatten()
-                at, home = (inner.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-                doc = np.repeat(np.arange(len(count)), count)
-                low = np.maximum(at - left, 0) + first[doc]
-                high = np.minimum(at + length + first[doc], first[doc + 1])
-                order = np.lexsort((low, home, doc))
-                doc, home, low, high = doc[order], home[order], low[order], high[order]
+                tokens, doc, home, start, stop, first = segments(part)
                 if not len(doc):
                     continue
-                # Overlapping or touching pieces of one document and home become one segment.
-                group = np.concatenate([[True], (doc[1:] != doc[:-1]) | (home[1:] != home[:-1])])
-                number = np.cumsum(group)
-                wide = np.int64(len(tokens) + 1)
-                reach = np.maximum.accumulate(high + number * wide) - number * wide
-                new = group.copy()
-                new[1:] |= low[1:] > reach[:-1]
-                head = np.flatnonzero(new)
-                last = np.append(head[1:], len(doc)) - 1
-                start, stop = low[head], reach[last]
                 size = stop - start
-                index = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 raw = np.concatenate([[0], np.cumsum(size)]) * 8
-                ids = part.column("doc_id").to_numpy()
+                ids, versions = (part.column(c).to_numpy()[doc] for c in ("doc_id", "version"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(home[head]), pa.array(ids[doc[head]]), pa.array((start - first[doc[head]]).astype(np.int32)),
-                        pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(raw.astype(np.int32)), pa.py_buffer(tokens[index])]),
+                        pa.array(home), pa.array(ids), pa.array(versions), pa.array((start - first[doc]).astype(np.int32)),
+                        pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(raw.astype(np.int32)), pa.py_buffer(tokens[ranges(start, size)])]),
                     ],
-                    ["home", "doc_id", "start", "tokens"],
+                    ["home", "doc_id", "version", "start", "tokens"],
                 )
 
-    segments = plain.join(wanted, "doc_id").mapInArrow(cut, "home long, doc_id long, start int, tokens binary")
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                tokens, doc, _, start, stop, first = segments(part)
+                count = np.maximum(stop - start - length + 1, 0)
+                at = ranges(start, count)
+                owner = np.repeat(doc, count)
+                _, one = np.unique(at, return_index=True)  # homes of one text may overlap
+                at, owner = at[one], owner[one]
+                a, b = gram_hashes(tokens, length), gram_hashes(mix(tokens ^ U(0x5851F42D4C957F2D)), length)
+                ids, versions = (part.column(c).to_numpy()[owner] for c in ("doc_id", "version"))
+                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(ids), pa.array(versions), pa.array((at - first[owner]).astype(np.int64))], ["a", "b", "doc_id", "version", "s"])
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        whole = pa.Table.from_batches(held)
-        ids = whole.column("doc_id").to_numpy()
+        """The rows come sorted by home: whole homes are searched as soon as there are words enough."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.column("tokens").nbytes for b in held) >= TOGETHER:
+                homes = np.concatenate([b.column("home").to_numpy() for b in held])
+                whole = int(np.searchsorted(homes == homes[-1], True))  # the last home may go on
+                if whole:
+                    both = pa.Table.from_batches(held)
+                    yield from sought(both.slice(0, whole))
+                    held = both.slice(whole).to_batches()
+        if held:
+            yield from sought(pa.Table.from_batches(held))
+        released()
+
+    def sought(whole: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, versions = whole.column("doc_id").to_numpy(), whole.column("version").to_numpy()
         start = whole.column("start").to_numpy().astype(np.int64)
         pieces = [np.frombuffer(x.as_buffer(), np.uint64) for x in whole.column("tokens")]
-        order = np.lexsort((start, ids))
+        order = np.lexsort((start, versions, ids))
         # Segments of one document that overlap or touch become one, so that no place is there twice.
-        parts, heads, begins, docs_of, total = [], [], [], [], 0
-        last_id = reach = None
+        parts, heads, begins, rows_of, total = [], [], [], [], 0
+        last_row = reach = None
         for k in order.tolist():
             p, s = pieces[k], int(start[k])
-            if last_id == ids[k] and s <= reach:
+            if last_row == (ids[k], versions[k]) and s <= reach:
                 p = p[reach - s :]
             else:
                 heads.append(total)
                 begins.append(s)
-                docs_of.append(ids[k])
-                last_id, reach = ids[k], s
+                rows_of.append(k)
+                last_row, reach = (ids[k], versions[k]), s
             if len(p):
                 parts.append(p)
                 total += len(p)
                 reach += len(p)
         tokens, head = np.concatenate(parts), np.array(heads)
-        begin, doc_of = np.array(begins), np.array(docs_of)
+        begin, row_of = np.array(begins), np.array(rows_of)
         size = np.diff(np.append(head, len(tokens)))
         segment = np.repeat(np.arange(len(head)), size)
         ends = np.repeat(head + size, size)
@@ -150,16 +204,24 @@ def repeats(docs: DataFrame, anchors: Anchors, search: Search, length: int, left
         seg = segment[hits[at]]
         from_ = hits[at] - head[seg] + begin[seg]
         until = hits[to] - head[seg] + begin[seg] + length
-        yield pa.RecordBatch.from_arrays([pa.array(doc_of[seg]), pa.array(from_), pa.array(until), pa.array(doc_of[segment[source[at]]])], ["doc_id", "s", "e", "source"])
-        released()
-
-    found = segments.repartition("home").mapInArrow(seek, "doc_id long, s long, e long, source long")
-    by_start = Window.partitionBy("doc_id").orderBy("s", "e", "source")
+        doc_of = ids[row_of]
+        yield pa.RecordBatch.from_arrays([pa.array(doc_of[seg]), pa.array(versions[row_of][seg]), pa.array(from_), pa.array(until), pa.array(doc_of[segment[source[at]]])], ["doc_id", "version", "s", "e", "source"])
+
+    rows = "doc_id long, version long, s long, e long, source long"
+    cold = pieces("NULL").mapInArrow(cut, "home long, doc_id long, version long, start int, tokens binary")
+    found = cold.repartition("home").sortWithinPartitions("home").mapInArrow(seek, rows)
+    if is_hot:
+        every = stored(pieces("NOT NULL").mapInArrow(windows, "a long, b long, doc_id long, version long, s long"))
+        place = F.struct("doc_id", "version", "s")
+        firsts = every.groupBy("a", "b").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("a", "b", "low")
+        again = every.join(beside(firsts), ["a", "b"]).where(place > F.col("low"))
+        found = found.unionByName(again.select("doc_id", "version", "s", (F.col("s") + length).alias("e"), F.col("low.doc_id").alias("source")))
+    by_start = Window.partitionBy("doc_id", "version").orderBy("s", "e", "source")
     reach = F.max("e").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("new", F.coalesce(F.col("s") > reach, F.lit(True)).cast("int"))
     islands = islands.withColumn("island", F.sum("new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = islands.groupBy("doc_id", "island").agg(F.min(F.struct("s", "source")).alias("head"), F.max("e").alias("end_word"))
-    return spans.select("doc_id", F.col("head.s").alias("start_word"), "end_word", (F.col("end_word") - F.col("head.s")).alias("n_words"), F.col("head.source").alias("source_doc_id"))
+    joined = islands.groupBy("doc_id", "version", "island").agg(F.min(F.struct("s", "source")).alias("head"), F.max("e").alias("end_word"))
+    return joined.select("doc_id", "version", F.col("head.s").alias("start_word"), "end_word", (F.col("end_word") - F.col("head.s")).alias("n_words"), F.col("head.source").alias("source_doc_id"))
 
 
 def repeat_sql(length: int) -> str:

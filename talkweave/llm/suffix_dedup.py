@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._arrays import flat, ranges, slices, words
-from ._repeats import gram_hashes, repeat_sql, repeats
+from ._repeats import gram_hashes, repeat_sql, spans
 from ._suffixes import common_prefixes, previous_factors, suffix_order
 from ._tables import beside, fresh, table
 
@@ -19,8 +19,8 @@ LENGTH, GRAM = 50, 25
 _PLACE = 24
 
 
-def minimizers(tokens: np.ndarray, first: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and position of the gram of least hash in every window of `length` tokens (the first of equals).
+def minimizers(tokens: np.ndarray, first: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, position and size of the gram of least hash in every window of `length` tokens (the first of equals).
 
     The choice depends on the window's tokens only, so equal windows have equal marks: none is missed.
     """
@@ -29,7 +29,7 @@ def minimizers(tokens: np.ndarray, first: np.ndarray, length: int = LENGTH, gram
     n = np.diff(first)
     windows = np.maximum(n - length + 1, 0)
     if not windows.sum():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     in_text = np.arange(len(h)) - np.repeat(first[:-1], n)[: len(h)]
     low = np.uint64((1 << _PLACE) - 1)
     least = h & ~low | in_text.astype(np.uint64) & low
@@ -45,7 +45,7 @@ def minimizers(tokens: np.ndarray, first: np.ndarray, length: int = LENGTH, gram
     inside = i - begin
     at = i + ((least[i] & low).astype(np.int64) - inside) % (1 << _PLACE)
     at = at[np.concatenate([[True], at[1:] != at[:-1]])]
-    return h[at], at
+    return h[at], at, np.full(len(at), gram)
 
 
 def earlier_factors(tokens: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,25 +64,30 @@ def earlier_factors(tokens: np.ndarray, ends: np.ndarray, length: int) -> tuple[
     return hits, first[hits]
 
 
+def versioned(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """`later_copies` with the version of each document, where an id repeats with another text."""
+    return spans(docs, lambda tokens, first: minimizers(tokens, first, length, length // 2), earlier_factors, length, length - length // 2, None, text, key)
+
+
 def later_copies(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Spans of at least `length` words that occur earlier; rows, order and special cases as in `_repeats.repeats`.
+    """Spans of at least `length` words that occur earlier; rows, order and special cases as in `_repeats.spans`.
 
     Every window of `length` words is marked by its gram of least hash; around marks that occur twice, suffixes are put in
     order, and each position's longest previous factor is read off its neighbours with smaller positions.
     """
-    return repeats(docs, lambda tokens, first: minimizers(tokens, first, length, length // 2), earlier_factors, length, length - length // 2, text, key)
+    return versioned(docs, length, text, key).drop("version")
 
 
-def removed(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """docs without the spans (doc_id, start_word, end_word) of their texts; n_chars, where there is one, follows.
+def removed(docs: DataFrame, spans_: DataFrame) -> DataFrame:
+    """docs without the spans (doc_id, version, start_word, end_word) of their texts; n_chars, where there is one, follows.
 
     The white space before a removed span goes with it. A document that loses its last word is dropped; documents without
     spans, and rows without an id, stay as they are.
     """
     columns, schema = docs.columns, docs.schema
-    id_, mark = fresh(docs, "_id", "_cuts")
-    cuts = spans.groupBy(F.col("doc_id").alias(id_)).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias(mark))
-    joined = docs.join(beside(cuts), docs["doc_id"] == F.col(id_), "left").drop(id_)
+    id_, version, mark = fresh(docs, "_id", "_version", "_cuts")
+    cuts = spans_.groupBy(F.col("doc_id").alias(id_), F.col("version").alias(version)).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias(mark))
+    joined = docs.join(beside(cuts), (docs["doc_id"] == F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(version)), "left").drop(id_, version)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,12 +130,17 @@ def removed(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`later_copies` over the documents table."""
     return later_copies(table(spark, sf_dir, "documents"))
 
 
 def cut_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents without later copies of passages, all columns."""
-    return removed(docs, later_copies(docs))
+    """Pipeline stage: the documents without later copies of passages, all columns.
+
+    Null ids, null, empty and short texts stay as they are; rows that repeat an id and text are cut alike, an id's different
+    texts each for itself; clashing columns don't matter; an empty table stays empty.
+    """
+    return removed(docs, versioned(docs))
 
 
 SQL = repeat_sql(LENGTH)
