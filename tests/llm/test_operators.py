@@ -204,7 +204,7 @@ def test_resembling_rows_of_two_leaders():
     r[5, :114], r[6, 34:114], r[1, 34:84], r[1, 114:] = r[0, :114], r[0, 34:114], r[0, 34:84], r[6, 114:]
     r[0, 34:54] = rng.integers(3000, 3400, 20)
     r[1, :34] = r[6, :34]
-    a, b, _ = setsketch.resembling(np.zeros(7, np.int64), r, 0.37, 0.63)
+    a, b, *_ = setsketch.resembling(np.zeros(7, np.int64), r, 0.37, 0.63)
     assert {(0, 5), (1, 6), (5, 6)} <= {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
 
 
