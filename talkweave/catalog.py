@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .functions import cleaning, normalise, numbers_sv, similarity, times, tokens
 from .operators import chunking, intervals, keys, runs, shards, upsert, vectors, voice, words
 from .plans import refine, report
+from .storage import stored
 from .streaming import sessions as stream_sessions
 
 FLAGSHIP = "refine_speeches"
@@ -94,7 +95,7 @@ SELECT recording, speech_id, label, start_segment_ms, end_segment_ms, end_segmen
 FROM best WINDOW n AS (PARTITION BY recording ORDER BY start_segment_ms, speech_id)""")
 def refine_speeches(spark: SparkSession, d: str) -> DataFrame:
     segments = event_segments(spark, d)
-    return refine.refine(segments.drop("value"), day_speeches(segments))
+    return refine.refine(segments.drop("value"), day_speeches(segments), bucket_ms=DAY)
 
 
 OVERLAPS = f"""WITH {SEGMENTS} SELECT recording, pos, speech_id, least(end_ms, b_end_ms) - greatest(start_ms, b_start_ms) AS overlap_ms
@@ -290,7 +291,14 @@ def session_windows(spark: SparkSession, d: str) -> DataFrame:
     return stream_sessions.sessions(load(spark, d, "events"), "user_id", gap="6 hours").select("user_id", F.col("start").cast("timestamp_ntz").alias("first_ts"), "n")
 
 
-@query()
+@query(f"""WITH RECURSIVE {SEGMENTS}, o AS (SELECT recording, start_ms AS s, end_ms AS e, label, row_number() OVER (PARTITION BY recording ORDER BY start_ms, end_ms) AS k FROM segments), f AS (
+  SELECT recording, k, s AS first_ms, e AS last_ms, 0 AS span FROM o WHERE k = 1
+  UNION ALL SELECT o.recording, o.k, CASE WHEN o.s - f.last_ms >= 3600000 OR o.e - f.first_ms > 14400000 THEN o.s ELSE f.first_ms END, o.e,
+    CASE WHEN o.s - f.last_ms >= 3600000 OR o.e - f.first_ms > 14400000 THEN f.span + 1 ELSE f.span END FROM f JOIN o ON o.recording = f.recording AND o.k = f.k + 1),
+spans AS (SELECT recording, span, min(first_ms) AS s, arg_max(last_ms, k) AS e FROM f GROUP BY ALL), g AS (
+  SELECT recording, span, s AS begin, 0 AS session_id FROM spans WHERE span = 0
+  UNION ALL SELECT spans.recording, spans.span, CASE WHEN spans.e - g.begin >= 14400000 THEN spans.s ELSE g.begin END, CASE WHEN spans.e - g.begin >= 14400000 THEN g.session_id + 1 ELSE g.session_id END FROM g JOIN spans ON spans.recording = g.recording AND spans.span = g.span + 1)
+SELECT recording, CAST(session_id AS BIGINT) AS session_id, min(o.s) AS start_ms, max(o.e) AS end_ms, string_agg(label, ' ' ORDER BY k) AS text FROM o JOIN f USING (recording, k) JOIN g USING (recording, span) GROUP BY recording, session_id""")
 def sessions_capped(spark: SparkSession, d: str) -> DataFrame:
     w = event_segments(spark, d).select("recording", "start_ms", "end_ms", F.col("label").alias("word"))
     return chunking.sessionised(w, "recording", _HOUR, 4 * _HOUR)
@@ -300,7 +308,7 @@ def sessions_capped(spark: SparkSession, d: str) -> DataFrame:
 SELECT recording, pos, lpad(CAST(CAST(floor(total / 3.6e6 / 25) AS BIGINT) AS VARCHAR), 4, '0') AS shard FROM s""")
 def shard_running_sum(spark: SparkSession, d: str) -> DataFrame:
     s = event_segments(spark, d).withColumn("duration_ms", F.col("end_ms") - F.col("start_ms"))
-    return shards.shard_ids(s, ["start_ms", "pos"], "duration_ms").select("recording", "pos", "shard")
+    return shards.shard_ids(s, ["start_ms", "pos"], "duration_ms").select("recording", "pos", "shard")  # of all columns
 
 
 @query("""SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS chunk_id, CASE WHEN lag(turn) OVER w + 1 = turn AND lag(text) OVER w NOT IN ('', '<|nospeech|>') THEN lag(text) OVER w END AS previous_text
@@ -362,9 +370,9 @@ def timestamps_format(spark: SparkSession, d: str) -> DataFrame:
     return l.select("l_orderkey", "l_linenumber", times.srt_timestamp(s).alias("srt"), times.clock(s).alias("clock"), times.ctc_length(F.col("ms") * 16).alias("logits"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(round_even(l_tax * 1000 + l_quantity / 2, 0) AS BIGINT) AS ms FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CAST(round_even((l_tax + l_quantity / 2048) * 1000, 0) AS BIGINT) AS ms FROM lineitem")
 def half_even_ms(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.bround(F.col("l_tax") * 1000 + F.col("l_quantity") / 2).cast("long").alias("ms"))
+    return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", times.seconds_to_ms(F.col("l_tax") + F.col("l_quantity") / 2048).alias("ms"))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.page') AS page, json_extract_string(props, '$.ref') AS ref, json_extract_string(props, '$.k') AS k FROM events")
@@ -372,12 +380,14 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "events").select("event_id", *(F.get_json_object("props", f"$.{c}").alias(c) for c in ("page", "ref", "k")))
 
 
-@query("""SELECT conv_id, CAST(count(*) + CASE WHEN bool_or(role = 'assistant') THEN 0 ELSE 1 END AS BIGINT) AS appended, CAST(count(*) FILTER (WHERE role <> 'assistant') + 1 AS BIGINT) AS replaced, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), NULL) AS last_user FROM conversations GROUP BY conv_id""")
+@query("""SELECT conv_id, string_agg(role || ':' || text, chr(10) ORDER BY turn) || CASE WHEN bool_or(role = 'assistant') THEN '' ELSE chr(10) || 'assistant:new' END AS appended,
+  coalesce(string_agg(role || ':' || text, chr(10) ORDER BY turn) FILTER (WHERE role <> 'assistant') || chr(10), '') || 'assistant:new' AS replaced, 'assistant:new' AS alone, arg_max(text, turn) FILTER (WHERE role = 'user') AS last_user FROM conversations GROUP BY conv_id""")
 def model_upsert(spark: SparkSession, d: str) -> DataFrame:
     listed = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text", F.col("role").alias("model")))), lambda x: F.struct(x["text"].alias("text"), x["model"].alias("model")))
     c = load(spark, d, "conversations").groupBy("conv_id").agg(listed.alias("r"))
     new = F.struct(F.lit("new").alias("text"), F.lit("assistant").alias("model"))
-    return c.select("conv_id", F.size(upsert.upserted("r", new)).cast("long").alias("appended"), F.size(upsert.upserted("r", new, "model")).cast("long").alias("replaced"), upsert.by_model("r", "user").alias("last_user"))
+    show = lambda r: F.array_join(F.transform(r, lambda x: F.concat(x["model"], F.lit(":"), x["text"])), "\n")
+    return c.select("conv_id", *(show(upsert.upserted("r", new, mode)).alias(n) for n, mode in (("appended", "append"), ("replaced", "model"), ("alone", "all"))), upsert.by_model("r", "user").alias("last_user"))
 
 
 @query("""WITH p AS (SELECT a.conv_id, a.turn, regexp_replace(a.text, '[^ -~]', '', 'g') AS x, regexp_replace(b.text, '[^ -~]', '', 'g') AS y FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)
@@ -414,10 +424,17 @@ def oov_encode(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("k.conv_id", "k.turn", F.col("word_index").cast("long"), "id")
 
 
+#: Hashes of 5-grams are broadcast up to so many (some 100 MB), and joined by a shuffle beyond.
+BROADCAST_GRAMS = 2_000_000
+
+
 def _grams(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """Each gram as two 64-bit hashes: the texts' words needn't be sent anywhere."""
     w = F.filter(F.split("text", r"[\t\n\x0B\f\r ]+"), lambda x: x != "")
     listed = df.select(key, w.alias("w")).where(F.size("w") >= n)
-    return listed.select(key, F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))).alias("i", "gram"))
+    part = lambda i: F.slice("w", i, F.lit(n))
+    grams = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(F.xxhash64(part(i)).alias("a"), F.xxhash64(part(i), F.lit(1)).alias("b")))
+    return listed.select(key, F.posexplode(grams).alias("i", "g")).select(key, "i", "g.a", "g.b")
 
 
 @query(f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
@@ -425,14 +442,15 @@ dg AS (SELECT doc_id, i - 1 AS i, array_to_string(list_slice(w, i, i + 4), ' ')
 bg AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 4), ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM b))
 SELECT doc_id, item_id, count(*) AS hits, CAST(min(i) AS BIGINT) AS first FROM dg JOIN bg USING (gram) GROUP BY ALL""")
 def ngram_hits(spark: SparkSession, d: str) -> DataFrame:
-    bench = _grams(load(spark, d, "benchmark"), "item_id").select("item_id", "gram").distinct()
-    hits = _grams(load(spark, d, "documents"), "doc_id").join(bench, "gram")
+    bench = stored(_grams(load(spark, d, "benchmark"), "item_id").select("item_id", "a", "b").distinct())
+    few = bench.count() <= BROADCAST_GRAMS
+    hits = _grams(load(spark, d, "documents"), "doc_id").join(F.broadcast(bench) if few else bench, ["a", "b"])
     return hits.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("hits"), F.min("i").cast("long").alias("first"))
 
 
 @query()
 def fuzzy_locate(spark: SparkSession, d: str) -> DataFrame:
-    """Each benchmark passage in the documents that share five words with it."""
+    """Each benchmark passage in the documents that share five words in a row with it (what shares none can't be a near copy)."""
     pairs = ngram_hits(spark, d).select("doc_id", "item_id")
     docs, items = load(spark, d, "documents").select("doc_id", "text"), load(spark, d, "benchmark").select("item_id", F.col("text").alias("needle"))
     both = pairs.join(docs, "doc_id").join(items, "item_id")
@@ -456,10 +474,10 @@ def classified_tokens(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "benchmark").select("item_id", F.explode(tokens.classified_udf("sv")("text")).alias("t")).groupBy("item_id", "t.type").count()
 
 
-@query()
+@query("""WITH w AS (SELECT ['ett', 'två', 'tre', 'fyra', 'fem', 'sex', 'sju', 'åtta', 'nio', 'tio', 'elva', 'tolv', 'tretton', 'fjorton', 'femton', 'sexton', 'sjutton', 'arton', 'nitton'] AS low, ['tjugo', 'trettio', 'fyrtio', 'femtio', 'sextio', 'sjuttio', 'åttio', 'nittio'] AS tens)
+SELECT DISTINCT p_size, CASE WHEN p_size < 20 THEN low[p_size] ELSE tens[p_size // 10 - 1] || coalesce(low[nullif(p_size % 10, 0)], '') END AS words FROM part, w""")
 def number_words(spark: SparkSession, d: str) -> DataFrame:
-    say = F.udf(lambda n: numbers_sv.cardinal(n), "string")
-    return load(spark, d, "part").select("p_size").distinct().select("p_size", say("p_size").alias("words"))
+    return load(spark, d, "part").select("p_size").distinct().select("p_size", numbers_sv.cardinal_udf("p_size").alias("words"))
 
 
 @query()
@@ -501,14 +519,16 @@ def exploded_nested(spark: SparkSession, d: str) -> DataFrame:
     return flat.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.when(F.col("l_returnflag") != "R", 1).otherwise(0)).alias("spoken"))
 
 
-@query("SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n, CAST(list_position(embedding, list_max(embedding)) AS BIGINT) AS top FROM embeddings")
+@query("SELECT vec_id, 70::BIGINT AS n, CAST(embedding[64] AS DOUBLE) AS last, 0.0::DOUBLE AS fill, CAST(embedding[20] AS DOUBLE) AS cut, CAST(list_position(embedding, list_max(embedding)) AS BIGINT) AS top FROM embeddings")
 def vector_shapes(spark: SparkSession, d: str) -> DataFrame:
-    return load(spark, d, "embeddings").select("vec_id", F.size(times.padded(F.col("embedding"), 64)).cast("long").alias("n"), F.array_position("embedding", F.array_max("embedding")).alias("top"))
+    wide, short = times.padded(F.col("embedding"), 70), times.padded(F.col("embedding"), 20)
+    one = lambda c, i: F.element_at(c, i).cast("double")
+    return load(spark, d, "embeddings").select("vec_id", F.size(wide).cast("long").alias("n"), one(wide, 64).alias("last"), one(wide, 70).alias("fill"), one(short, -1).alias("cut"), F.array_position("embedding", F.array_max("embedding")).alias("top"))
 
 
 @query("SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // 1000 AS BIGINT) AS batch FROM events")
 def row_batches(spark: SparkSession, d: str) -> DataFrame:
-    return vectors.batches(load(spark, d, "events").select("event_id"), "event_id", 1000).withColumn("batch", F.col("batch").cast("long"))
+    return vectors.batches(load(spark, d, "events"), "event_id", 1000).select("event_id", F.col("batch").cast("long").alias("batch"))
 
 
 @query("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey) > 1 AS several, min(o_orderdate) OVER (PARTITION BY o_custkey) AS first_date, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS number FROM orders")
@@ -517,3 +537,5 @@ def per_key_windows(spark: SparkSession, d: str) -> DataFrame:
     number = F.row_number().over(w.orderBy("o_orderdate", "o_orderkey")).cast("long")
     return load(spark, d, "orders").select("o_orderkey", keys.multiple(["o_custkey"]).alias("several"), F.min("o_orderdate").over(w).alias("first_date"), number.alias("number"))
 
+
+from . import catalog_pieces  # noqa: E402, F401 - adds its queries

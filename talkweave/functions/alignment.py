@@ -32,7 +32,7 @@ def forced_alignment(log_probs: np.ndarray, tokens: list[int], blank: int = 0) -
     path = np.empty(n, np.int64)
     for k in range(n - 1, -1, -1):
         path[k] = at
-        at -= came[k, at]
+        at -= int(came[k, at])
     out = []
     for i, t in enumerate(tokens):
         frames = np.flatnonzero(path == 2 * i + 1)
@@ -59,6 +59,113 @@ def word_times(log_probs: np.ndarray, words: list[str], letters: dict[str, int],
     return out
 
 
+def ctc_segmentation(log_probs: np.ndarray, utterances: list[list[int]], seconds_a_frame: float, blank: int = 0, window: int = 30) -> list[dict]:
+    """Start, end and confidence of utterances that are spoken in order somewhere in the frames (Kurzinger et al., 2020).
+
+    Frames before the first and behind the last utterance cost nothing; within, each frame continues its token (or a blank)
+    or moves on to the next. confidence: the least mean log probability of any `window` frames of the utterance. Utterances
+    without a token have nulls; all have, where there are fewer frames than tokens.
+    """
+    tokens = [t for u in utterances for t in u]
+    n, m = len(log_probs), len(tokens)
+    none = {"start_time": None, "end_time": None, "confidence": None}
+    if not m or n < m:
+        return [dict(none) for _ in utterances]
+    emit = log_probs[:, tokens]
+    stay = np.maximum(emit, log_probs[:, [blank]])
+    best = np.full((n, m), -np.inf)
+    moved = np.zeros((n, m), bool)
+    best[0, 0] = emit[0, 0]
+    moved[0, 0] = True
+    for k in range(1, n):
+        come = np.concatenate([[0.0], best[k - 1, :-1]]) + emit[k]
+        keep = best[k - 1] + stay[k]
+        moved[k] = come > keep
+        best[k] = np.where(moved[k], come, keep)
+    k, j = int(best[:, -1].argmax()), m - 1
+    first, last, score = np.full(m, -1), np.full(m, -1), np.full(n, np.nan)
+    while j >= 0:
+        if last[j] < 0:
+            last[j] = k
+        score[k] = emit[k, j] if moved[k, j] else stay[k, j]
+        if moved[k, j]:
+            first[j] = k
+            j -= 1
+        k -= 1
+    # A token ends with the last frame that says it; the blanks behind it are pause.
+    for j in range(m):
+        own = np.flatnonzero(emit[first[j] : last[j] + 1, j] > log_probs[first[j] : last[j] + 1, blank])
+        last[j] = first[j] + (int(own[-1]) if len(own) else 0)
+    out, at = [], 0
+    for u in utterances:
+        if not u:
+            out.append(dict(none))
+            continue
+        a, b = int(first[at]), int(last[at + len(u) - 1]) + 1
+        s = np.nan_to_num(score[a:b])
+        size = min(window, len(s))
+        sums = np.convolve(s, np.ones(size), "valid") / size
+        out.append({"start_time": a * seconds_a_frame, "end_time": b * seconds_a_frame, "confidence": float(sums.min())})
+        at += len(u)
+    return out
+
+
+def text_tokens(text: str, letters: dict[str, int], gap: str = "|") -> list[int]:
+    """Letters of a text that a model knows, words apart by its gap."""
+    out: list[int] = []
+    for w in text.split():
+        known = [letters[c] for c in w if c in letters]
+        if known and out and gap in letters:
+            out.append(letters[gap])
+        out += known
+    return out
+
+
+def word_times_udf(letters: dict[str, int], seconds_a_frame: float, gap: str = "|", blank: int = 0):
+    """Arrow UDF: (flat log probabilities, text, start in seconds) -> array<struct<word, start_time, end_time, score>>; a row
+    holds the frames of one stretch of speech."""
+
+    @F.pandas_udf("array<struct<word: string, start_time: double, end_time: double, score: double>>")
+    def udf(values: pd.Series, texts: pd.Series, starts: pd.Series) -> pd.Series:
+        width = max(letters.values()) + 1
+
+        def one(v, t, s):
+            if v is None or t is None:
+                return None
+            return word_times(np.asarray(v, float).reshape(-1, width), t.split(), letters, seconds_a_frame, float(s or 0), gap, blank)
+
+        return pd.Series([one(*x) for x in zip(values, texts, starts)])
+
+    return udf
+
+
+def segments_udf(letters: dict[str, int], seconds_a_frame: float, gap: str = "|", blank: int = 0):
+    """Arrow UDF: (flat log probabilities, array of utterances) -> array<struct<start_time, end_time, confidence>>."""
+
+    @F.pandas_udf("array<struct<start_time: double, end_time: double, confidence: double>>")
+    def udf(values: pd.Series, utterances: pd.Series) -> pd.Series:
+        width = max(letters.values()) + 1
+
+        def one(v, u):
+            if v is None or u is None:
+                return None
+            return ctc_segmentation(np.asarray(v, float).reshape(-1, width), [text_tokens(t or "", letters, gap) for t in u], seconds_a_frame, blank)
+
+        return pd.Series([one(*x) for x in zip(values, utterances)])
+
+    return udf
+
+
+def log_mel_udf(bands: int = 80, rate: int = 16_000):
+    """Arrow UDF: samples -> flat log mel power, `bands` values a frame."""
+
+    @F.pandas_udf("array<float>")
+    def udf(audio: pd.Series) -> pd.Series:
+        return audio.map(lambda x: None if x is None else log_mel(np.asarray(x, float), bands, rate=rate).T.astype("float32").ravel())
+
+    return udf
+
+
 def sentences(text: str, abbreviations: tuple[str, ...] = ()) -> list[tuple[int, int]]:
     """Character spans of sentences: up to . ! ? … and closing quotes before white space and no small letter, but not after an
     abbreviation, an initial or a number with a dot."""

@@ -61,7 +61,7 @@ def piped_tags(text: Column) -> Column:
 def clean_name(name: Column) -> Column:
     """A speaker's name without titles and parentheses, in title case (also after hyphens and apostrophes)."""
     c = trimmed(replaced(name, (r"\([^)]*\)", ""), (r"(?i)^(?:herr|fru|fröken|statsrådet|talmannen|\S*minister[n]?)\s+", "")))
-    return F.array_join(F.transform(F.split(F.lower(c), r"(?<=[-' ])"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))), "")
+    return F.array_join(F.transform(F.split(F.lower(c), r"(?<=[-' ])"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p)))), "")
 
 
 def n_words(text: Column) -> Column:

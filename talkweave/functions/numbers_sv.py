@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
 _SMALL = "noll ett två tre fyra fem sex sju åtta nio tio elva tolv tretton fjorton femton sexton sjutton arton nitton".split()
 _TENS = "  tjugo trettio fyrtio femtio sextio sjuttio åttio nittio".split(" ")
 _ORDINAL = "nollte första andra tredje fjärde femte sjätte sjunde åttonde nionde tionde elfte tolfte trettonde fjortonde femtonde sextonde sjuttonde artonde nittonde".split()
@@ -41,3 +45,9 @@ def ordinal(n: int) -> str:
     if rest:
         return cardinal(n - rest) + ordinal(rest)
     return cardinal(n) + ("de" if n % 1000 and not cardinal(n).endswith("n") else "de" if not cardinal(n).endswith("n") else "te")
+
+
+@F.pandas_udf(StringType())
+def cardinal_udf(numbers: pd.Series) -> pd.Series:
+    """Number words; each distinct number is spelled once a batch."""
+    return numbers.map({n: cardinal(int(n)) for n in numbers.dropna().unique()})

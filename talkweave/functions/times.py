@@ -49,10 +49,21 @@ def logit_time(logit: Column, frames_: Column, logits: Column, start_s: Column,
     return logit * F.try_divide(frames_, logits) / rate + start_s
 
 
+def held(value: Column, use) -> Column:
+    """use(value), with value computed once a row although a lambda function needs it for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def softmax(scores: Column) -> Column:
-    top = F.array_max(scores)
-    powers = F.transform(scores, lambda x: F.exp(x - top))
-    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    powers = held(F.array_max(scores), lambda top: F.transform(scores, lambda x: F.exp(x - top)))
+    total = held(powers, lambda p: F.struct(p.alias("p"), F.aggregate(p, F.lit(0.0), lambda a, b: a + b).alias("t")))
+    return held(total, lambda h: F.transform(h["p"], lambda x: x / h["t"]))
+
+
+def offset_seconds(offsets: Column, samples_a_logit: int = 320, rate: int = 16_000) -> Column:
+    """Word offsets in logits (word, start_offset, end_offset) as times of two decimals."""
+    at = lambda c: F.round(c * samples_a_logit / rate, 2)
+    return F.transform(offsets, lambda w: F.struct(w["word"].alias("word"), at(w["start_offset"]).alias("start_time"), at(w["end_offset"]).alias("end_time")))
 
 
 def padded(values: Column, length: int, fill: float = 0.0) -> Column:

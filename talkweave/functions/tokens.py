@@ -28,6 +28,11 @@ def divide(token: str) -> list[str]:
     return _PARTS.findall(token)
 
 
+def divided(token):
+    """Column: the same as `divide`, in the JVM (letters and digits of ASCII and Latin text)."""
+    return F.regexp_extract_all(token, F.lit(r"(?s)(\p{L}+|[0-9]+|\.+|.)"), 1)
+
+
 def is_time(token: str) -> bool:
     m = re.fullmatch(r"(\d{1,2})[:.](\d{2})", token)
     return bool(m) and int(m[1]) < 24 and int(m[2]) < 60

@@ -116,17 +116,29 @@ def pack_chunks(subs: DataFrame, key: str, least: int = 10_000, most: int = 30_0
 
 def greedy_chunk_ids(order: str, duration: str, most: int) -> Column:
     """Aggregate: array<struct<pos, chunk>> of items packed in order into chunks of at most `most`; an item that alone exceeds
-    it has a chunk to itself. Stays in the JVM."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("pos"), F.col(duration).cast("long").alias("size"))))
-    empty = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("chunk"), F.array().cast("array<struct<pos: bigint, chunk: int>>").alias("out"))
+    it has a chunk to itself. One pass over each sorted list (an aggregate that grows an array would copy it at each step)."""
+    items = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("pos"), F.col(duration).cast("long").alias("size"))))
+    chunks = greedy_chunks(most)(F.transform(items, lambda x: x["size"]))
+    return F.arrays_zip(F.transform(items, lambda x: x["pos"]).alias("pos"), chunks.alias("chunk"))
 
-    def step(acc, x):
-        new = (acc["total"] > 0) & (acc["total"] + x["size"] > most)
-        chunk = F.when(new, acc["chunk"] + 1).otherwise(acc["chunk"])
-        total = F.when(new, x["size"]).otherwise(acc["total"] + x["size"])
-        return F.struct(total.alias("total"), chunk.alias("chunk"), F.concat(acc["out"], F.array(F.struct(x["pos"].cast("long").alias("pos"), chunk.alias("chunk")))).alias("out"))
 
-    return F.aggregate(items, empty, step, lambda acc: acc["out"])
+def greedy_chunks(most: int):
+    """Arrow UDF: sizes in order -> number of each one's chunk."""
+
+    @F.pandas_udf("array<int>")
+    def udf(sizes: pd.Series) -> pd.Series:
+        def one(x):
+            out, total, chunk = [], 0, 0
+            for s in x.tolist():
+                if total > 0 and total + s > most:
+                    total, chunk = 0, chunk + 1
+                total += s
+                out.append(chunk)
+            return out
+
+        return sizes.map(lambda x: None if x is None else one(x))
+
+    return udf
 
 
 def capped_sessions(words: Iterable[tuple[int, int]], gap: int, most: int) -> list[int]:
@@ -173,3 +185,30 @@ def sentence_times(sentences: list[tuple[int, int, str]], tokens: list[dict]) ->
         if start is not None and end is not None:
             out.append({"start": start, "end": end, "text": text})
     return out
+
+
+def concatenated(words: DataFrame, key: str, least_ms: int = 25_000) -> DataFrame:
+    """(key, part, start_ms, end_ms, text): timed words (start_ms, end_ms, word) in order, a new part as soon as the one before
+    lasts least_ms; the last may be shorter."""
+    kind = dict(words.dtypes)[key]
+
+    def run(k: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(["start_ms", "end_ms", "word"], kind="stable")
+        part, start, parts = 0, None, []
+        for s, e in zip(g["start_ms"], g["end_ms"]):
+            start = s if start is None else start
+            parts.append(part)
+            if e - start >= least_ms:
+                part, start = part + 1, None
+        out = g.assign(part=parts).groupby("part").agg(start_ms=("start_ms", "min"), end_ms=("end_ms", "max"), text=("word", lambda x: " ".join(x.dropna().astype(str)))).reset_index()
+        out.insert(0, key, k[0])
+        return out
+
+    return words.select(key, "start_ms", "end_ms", "word").groupBy(key).applyInPandas(run, f"`{key}` {kind}, part long, start_ms long, end_ms long, text string")
+
+
+def timed_spans(spans: DataFrame, times: DataFrame, key: str) -> DataFrame:
+    """Spans of normalised text (key, index, ...) with the times of their first and last word: times has key,
+    normalized_word_index, position, start_time, end_time. Spans without a timed word keep null times."""
+    known = times.groupBy(key, F.col("normalized_word_index").alias("index")).agg(F.min_by("start_time", "position").alias("start_time"), F.max_by("end_time", "position").alias("end_time"))
+    return spans.join(known, [key, "index"], "left")

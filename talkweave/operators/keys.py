@@ -90,3 +90,30 @@ def top_entries(column: str, n: int, pinned: str) -> Column:
     first = F.slice(entries, 1, n)
     rest = F.filter(F.map_entries(column), lambda e: (e["key"] == pinned) & ~F.exists(first, lambda x: x["key"] == pinned))
     return F.map_from_entries(F.concat(first, rest))
+
+
+def corrected(df: DataFrame, column: str, rules: list[tuple[str, str, object]]) -> DataFrame:
+    """Values overwritten where `column` holds a pattern: (pattern, target column, value), a later rule over an earlier one."""
+    for pattern, target, value in rules:
+        df = df.withColumn(target, F.when(F.coalesce(F.col(column).rlike(pattern), F.lit(False)), F.lit(value)).otherwise(F.col(target)))
+    return df
+
+
+def lookup_first(df: DataFrame, path: str, table: DataFrame, file: str, order: str, parts: int = 1) -> DataFrame:
+    """Each row with the first row of a table whose file is the end of its path (the last `parts` parts): an equi join on those
+    instead of a search for substrings. Rows without one keep nulls."""
+    from ..functions.cleaning import last_parts
+
+    first = first_per_key(table.withColumn("_file", last_parts(F.col(file), parts)), ["_file"], order)
+    return df.join(first, last_parts(F.col(path), parts) == F.col("_file"), "left").drop("_file")
+
+
+def mapped_lists(df: DataFrame, key: str, table: DataFrame, order: str, values: str, out: str) -> DataFrame:
+    """Each row with the ordered list of a table's values for its key; null where there are none."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(values).alias("_v")))), lambda x: x["_v"])
+    return df.join(table.groupBy(key).agg(listed.alias(out)), key, "left")
+
+
+def large_enough(files: DataFrame, size: str, least: int, path: str, without: list[str]) -> DataFrame:
+    """Files of more than `least` bytes that aren't on a list."""
+    return files.where(F.col(size).isNotNull() & (F.col(size) > least) & ~basename(path).isin(without))

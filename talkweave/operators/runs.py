@@ -33,3 +33,9 @@ def label_runs(segments: DataFrame, keys: list[str], label: str, order: list[str
     w = Window.partitionBy(*keys).orderBy(*order)
     edges = with_run_id(segments, keys, label, *order).withColumn("_b", ends(label, w)).withColumn("_a", changes(label, w)).where("_a OR _b")
     return edges.groupBy(*keys, "run_id").agg(F.first(label).alias(label), F.min(start).alias(start), F.max(end).alias(end))
+
+
+def true_regions(df: DataFrame, keys: list[str], flag: str, order: str) -> DataFrame:
+    """(keys, first, last, n): stretches of true values between those that aren't, by their first and last place."""
+    runs = with_run_id(df.withColumn("_f", F.coalesce(F.col(flag), F.lit(False))), keys, "_f", order)
+    return runs.where("_f").groupBy(*keys, "run_id").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count(F.lit(1)).alias("n")).drop("run_id")

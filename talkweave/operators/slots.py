@@ -57,3 +57,23 @@ def language_probabilities(logits: str, languages: list[str]):
     from ..functions.times import softmax
 
     return F.map_from_arrays(F.array(*(F.lit(x) for x in languages)), softmax(F.col(logits)))
+
+
+def regrouped(df: DataFrame, key: str, order: str, apply: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """apply to all rows of each key, in order, in one pass over batches of any size: a key whose rows lie in several batches is
+    held until its last one has come. Keys share a task's batches instead of having one call each with its own transfer."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for part in parts:
+            held = part if held is None else pd.concat([held, part], ignore_index=True)
+            last = held[key].iloc[-1] if len(held) else None
+            whole = held[key].ne(last) & ~(held[key].isna() & pd.isna(last))
+            for _, g in held[whole].groupby(key, sort=False, dropna=False):
+                yield apply(g)
+            held = held[~whole]
+        if held is not None:
+            for _, g in held.groupby(key, sort=False, dropna=False):
+                yield apply(g)
+
+    return df.repartition(key).sortWithinPartitions(key, order).mapInPandas(run, schema)

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def binarize(scores: list[float], step: float, onset: float = 0.5, offset: float = 0.363, max_duration: float = float("inf")) -> list[tuple[float, float]]:
+def binarize(scores: list[float], step: float, onset: float = 0.5, offset: float = 0.363, max_duration: float = float("inf"), pad_onset: float = 0.0, pad_offset: float = 0.0, min_duration_on: float = 0.0, min_duration_off: float = 0.0) -> list[tuple[float, float]]:
     """Active stretches (seconds) of frame scores: begun above onset, ended below offset. One that lasts too long is cut at the
-    lowest score of its second half."""
+    lowest score of its second half. They are then padded, joined across gaps shorter than min_duration_off (and where padding
+    makes them touch), and left out below min_duration_on."""
     if not scores:
         return []
     out, start, seen = [], 0.0, [scores[0]]
@@ -31,7 +32,16 @@ def binarize(scores: list[float], step: float, onset: float = 0.5, offset: float
         seen.append(y)
     if active:
         out.append((start, len(scores) * step))
-    return [(s, e) for s, e in out if e > s]
+    found = [(s - pad_onset, e + pad_offset) for s, e in out if e > s]
+    if pad_onset or pad_offset or min_duration_off:
+        joined: list[tuple[float, float]] = []
+        for s, e in found:
+            if joined and s - joined[-1][1] <= min_duration_off:
+                joined[-1] = (joined[-1][0], max(e, joined[-1][1]))
+            else:
+                joined.append((s, e))
+        found = joined
+    return [(s, e) for s, e in found if e - s >= min_duration_on]
 
 
 def merged_groups(segments: list[tuple[float, float]], chunk_s: float = 30.0) -> list[dict]:

@@ -58,3 +58,9 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
 
     words = df.select(F.explode(F.filter(F.split(text, r"\s+"), lambda w: w != "")).alias("word")).distinct()
     return numbered(words, "word", "id")
+
+
+def decoded_words(df: DataFrame, key: str, order: str, ids: str, vocabulary: DataFrame) -> DataFrame:
+    """(key, text): words of ids in order; ids that the vocabulary lacks (0) are left out."""
+    named = df.join(vocabulary.select(F.col("id").alias(ids), "word"), ids)
+    return named.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "word"))), lambda x: x["word"]), " ").alias("text"))

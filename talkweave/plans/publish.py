@@ -6,8 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_chunk, head_error, piped_tags, tail_error
-from ..functions.similarity import bleu_udf, word_error_udf
+from ..functions.similarity import bleu_udf, first_word_udf, last_word_udf, word_error_udf
 from ..operators.shards import chunk_ids, previous_text, shard_ids
+from ..operators.upsert import by_model
+
+
+def scored_models(chunks: DataFrame, models: dict[str, str], results: str = "transcription", text: str = "text") -> DataFrame:
+    """Adds, for each model, its last transcription and the scores against the text: models maps a prefix to a model's name
+    (two models give two columns of each score)."""
+    for prefix, model in models.items():
+        said = f"{prefix}_text"
+        chunks = chunks.withColumn(said, by_model(results, model))
+        chunks = chunks.withColumns({
+            f"{prefix}_bleu": bleu_udf(text, said), f"{prefix}_wer": word_error_udf(text, said), f"{prefix}_first": first_word_udf(text, said), f"{prefix}_last": last_word_udf(text, said),
+            f"{prefix}_cer_head": head_error(F.col(text), F.col(said)), f"{prefix}_cer_tail": tail_error(F.col(text), F.col(said)),
+        })
+    return chunks
 
 
 def publish(chunks: DataFrame, hours: float = 25.0) -> DataFrame:

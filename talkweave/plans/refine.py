@@ -10,16 +10,16 @@ from ..operators.keys import best_per_key
 from ..operators.runs import label_runs, run_ends
 
 
-def refine(segments: DataFrame, speeches: DataFrame, recording: str = "recording", label: str = "label", order: str = "pos", least_ms: int = 600, least_ratio: float = 0.25, least_score: float = 0.5) -> DataFrame:
+def refine(segments: DataFrame, speeches: DataFrame, recording: str = "recording", label: str = "label", order: str = "pos", least_ms: int = 600, least_ratio: float = 0.25, least_score: float = 0.5, bucket_ms: int | None = 3_600_000) -> DataFrame:
     """The run of one label that fits each speech best.
 
     segments: recording, label, pos, start_ms, end_ms. speeches: recording, speech_id, b_start_ms, b_end_ms. Short segments
     go; runs of a label meet speeches that they overlap; each label is scored by the share of the speech that a run covers and
     by how much of the label's time the speech accounts for; the best run of each label, then the best label of each speech.
-    Everything is keyed by recording, so one shuffle of the segments serves the runs, the join and its windows.
+    bucket_ms: runs and speeches of a recording meet by the buckets of time that they touch, not all with all.
     """
     runs = label_runs(segments.where(F.col("end_ms") - F.col("start_ms") >= least_ms), [recording], label, [order])
-    pairs = overlap_join(runs, speeches, recording)
+    pairs = overlap_join(runs, speeches, recording, bucket_ms)
     pairs = pairs.withColumns({"duration_text": F.col("b_end_ms") - F.col("b_start_ms"), "duration_segment": F.col("end_ms") - F.col("start_ms")})
     pairs = pairs.withColumn("overlap_ratio", F.try_divide(F.col("overlap_ms"), F.col("duration_text"))).where("overlap_ratio > 1e-7")
     speech, by_label = Window.partitionBy(recording, "speech_id"), Window.partitionBy(recording, "speech_id", label)

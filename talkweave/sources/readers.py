@@ -164,27 +164,77 @@ def emissions(spark: SparkSession, path: str, glob: str = "*.npy") -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, shape array<int>, values array<float>")
 
 
-def wav_audio(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
-    """(path, rate, audio, error): mono samples in -1..1 of 16-bit WAV files; a file that can't be read has only its error."""
+def resampled(x, rate: int, to: int):
+    """Samples at another rate: band-limited by the lower of both rates, with a windowed sinc of 32 zero crossings."""
+    import math
+
+    import numpy as np
+
+    if rate == to or not len(x):
+        return np.asarray(x, "float32")
+    common = math.gcd(rate, to)
+    up, down = to // common, rate // common
+    width = 32 * max(up, down)
+    t = np.arange(-width, width + 1)
+    kernel = np.sinc(t / max(up, down)) * np.kaiser(len(t), 9.0)
+    kernel *= up / kernel.sum()
+    # Output sample n lies at n * down of the up times finer grid; only the kernel's taps on given samples count.
+    at = np.arange(-(-len(x) * up // down)) * down
+    first = -(-(at - width) // up)
+    taps = 2 * width // up + 1
+    index = first[:, None] + np.arange(taps)
+    offset = at[:, None] - index * up + width
+    weight = np.where((offset >= 0) & (offset < len(kernel)), kernel[np.clip(offset, 0, len(kernel) - 1)], 0.0)
+    inside = (index >= 0) & (index < len(x))
+    return (weight * np.where(inside, np.asarray(x, float)[np.clip(index, 0, len(x) - 1)], 0.0)).sum(1).astype("float32")
+
+
+def decoded_wav(content: bytes, rate: int | None = 16_000):
+    """(rate, mono samples in -1..1) of a PCM WAV file of 8, 16, 24 or 32 bits, at `rate` if that is given."""
     import io
     import wave
 
     import numpy as np
 
+    with wave.open(io.BytesIO(content)) as w:
+        width, own, channels, raw = w.getsampwidth(), w.getframerate(), w.getnchannels(), w.readframes(w.getnframes())
+    if width == 1:
+        x = np.frombuffer(raw, np.uint8).astype(float) / 128 - 1
+    elif width == 3:
+        parts = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
+        x = ((parts[:, 0] | parts[:, 1] << 8 | parts[:, 2] << 16) << 8 >> 8) / float(1 << 23)
+    else:
+        x = np.frombuffer(raw, f"<i{width}") / float(1 << 8 * width - 1)
+    mono = x.reshape(-1, channels).mean(1)
+    return (rate, resampled(mono, own, rate)) if rate else (own, mono.astype("float32"))
+
+
+def decoded_audio(files: DataFrame, path: str = "path", content: str = "content", rate: int | None = 16_000) -> DataFrame:
+    """(path, rate, audio, error) of WAV files in a binary column: mono samples in -1..1 at `rate` (None: the file's own). A
+    file that can't be read has only its error."""
+    import wave
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for file, content in zip(part["path"], part["content"]):
+            for file, held in zip(part["path"], part["content"]):
                 try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        x = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels()).mean(1)
-                        rows.append((file, w.getframerate(), (x / 32768).astype("float32"), None))
-                except (wave.Error, EOFError, ValueError) as e:
+                    rows.append((file, *decoded_wav(held, rate), None))
+                except (wave.Error, EOFError, ValueError, TypeError) as e:
                     rows.append((file, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "rate", "audio", "error"]).astype({"rate": "Int32"})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", "content").mapInPandas(run, "path string, rate int, audio array<float>, error string")
+    return files.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInPandas(run, "path string, rate int, audio array<float>, error string")
+
+
+def wav_audio(spark: SparkSession, path: str, glob: str = "*.wav", rate: int | None = None) -> DataFrame:
+    """`decoded_audio` of the WAV files in a folder and below."""
+    return decoded_audio(spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path), rate=rate)
+
+
+def coerced_list(json: str, item: str):
+    """Column: array of a JSON text that holds one object of the schema `item`, or a list of them; null for other text."""
+    return F.from_json(F.when(F.ltrim(json).startswith("["), F.col(json)).when(F.ltrim(json).startswith("{"), F.concat(F.lit("["), json, F.lit("]"))), f"array<{item}>")
 
 
 def flattened(docs: DataFrame, list_column: str = "chunks", metadata: str = "metadata") -> DataFrame:

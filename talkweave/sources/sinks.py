@@ -7,20 +7,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def parquet(df: DataFrame, path: str, mode: str = "errorifexists", block_bytes: int | None = None) -> None:
+def parquet(df: DataFrame, path: str, mode: str = "errorifexists", block_bytes: int | None = None, block_rows: int | None = None) -> None:
+    """block_bytes, block_rows: what a row group holds at most (rows of audio are large, so few go into one)."""
     w = df.write.mode(mode)
-    (w.option("parquet.block.size", block_bytes) if block_bytes else w).parquet(path)
+    for name, value in (("parquet.block.size", block_bytes), ("parquet.block.row.count.limit", block_rows)):
+        w = w.option(name, value) if value else w
+    w.parquet(path)
 
 
 def sharded(df: DataFrame, path: str, key: str = "shard") -> None:
     """One folder a shard; shards that are there already stay as they are."""
     spark = df.sparkSession
-    try:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
         done = spark.read.schema(df.schema).parquet(path).select(F.col(key).cast("string").alias("_done")).distinct()
         df = df.join(done, F.col(key).cast("string") == F.col("_done"), "left_anti")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
     df.repartition(key).write.mode("append").partitionBy(key).parquet(path)
 
 
@@ -100,6 +101,31 @@ def wav_bytes(rate: int = 16_000):
     return udf
 
 
+def npy_files(df: DataFrame, folder: str, file: str = "file", name: str = "speech_id", shape: str = "shape", values: str = "values") -> DataFrame:
+    """Writes {folder}/{file}/{name}.npy for each row into a folder that all executors share; returns the paths. A file is
+    written aside and renamed, so a task that is tried again, or twice at once, leaves whole files only."""
+    import os
+    import uuid
+    from collections.abc import Iterator
+
+    import numpy as np
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            paths = []
+            for f, n, s, v in zip(part["f"], part["n"], part["s"], part["v"]):
+                path = os.path.join(folder, f, f"{n}.npy")
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                aside = f"{path}.{uuid.uuid4().hex}"
+                with open(aside, "wb") as out:
+                    np.save(out, np.asarray(v, "float32").reshape(list(s)))
+                os.replace(aside, path)
+                paths.append(path)
+            yield pd.DataFrame({"path": paths})
+
+    return df.select(F.col(file).cast("string").alias("f"), F.col(name).cast("string").alias("n"), F.col(shape).alias("s"), F.col(values).alias("v")).mapInPandas(run, "path string")
+
+
 def markdown(df: DataFrame, most_rows: int = 1000, decimals: int = 2) -> str:
     """A small result as a Markdown table; larger ones raise."""
     rows = df.limit(most_rows + 1).collect()

@@ -4,6 +4,8 @@ import math
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from talkweave import catalog
@@ -23,9 +25,10 @@ def con():
 
 def canonical(df):
     def show(x):
-        if x is None or (isinstance(x, float) and math.isnan(x)):
+        if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
             return "null"
-        return f"{x:.9f}" if isinstance(x, float) else str(x)
+        # Whole numbers with nulls come as floats from one side.
+        return str(x) if isinstance(x, (bool, np.bool_, str)) or not isinstance(x, (int, float, np.number)) else f"{float(x):.9f}"
 
     return sorted(tuple(map(show, r)) for r in df[sorted(df.columns)].itertuples(index=False))
 
