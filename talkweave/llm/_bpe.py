@@ -17,6 +17,8 @@ from ._arrays import hash_spans, mix, ranges
 U = np.uint64
 #: Longest-match words that a worker remembers before it starts afresh.
 REMEMBERED = 1 << 19
+#: Bytes of a word up to which words are stepped through together; a longer one is taken by itself.
+LONG = 256
 LETTER, NUMBER, BLANK, OTHER = 0, 1, 2, 3
 
 
@@ -346,7 +348,11 @@ class Encoder:
         """Tokens of distinct words: greedy longest matches, checked, and merged exactly where the check fails."""
         v = self.v
         who, what, cursor = [], [], starts.astype(np.int64).copy()
-        live = np.arange(len(starts))
+        for w in np.flatnonzero(ends - starts > LONG).tolist():
+            ids = self._stepped(data, int(starts[w]), int(ends[w]))
+            who.append(np.full(len(ids), w))
+            what.append(ids)
+        live = np.flatnonzero(ends - starts <= LONG)
         while len(live):
             at, stop = cursor[live], ends[live]
             state = np.zeros(len(live), np.int64)
@@ -389,6 +395,28 @@ class Encoder:
         counts[bad] = sizes
         return pool[ranges(first, counts)], counts
 
+    def _stepped(self, data: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Greedy longest matches of one long word: first those from all of its bytes at once, then the steps from its beginning."""
+        n = end - start
+        best, reach = np.full(n, -1, np.int32), np.arange(n)
+        state, walk = np.zeros(n, np.int64), np.arange(n)
+        depth = 0
+        while len(walk):
+            nxt = self.trie.get(mix(state[walk].astype(np.uint64) << U(8) | data[start + walk + depth].astype(np.uint64)))
+            ok = nxt >= 0
+            walk, nxt = walk[ok], nxt[ok]
+            state[walk] = nxt
+            depth += 1
+            token = self.v.trie_token[nxt]
+            hit = token >= 0
+            best[walk[hit]], reach[walk[hit]] = token[hit], walk[hit] + depth
+            walk = walk[walk + depth < n]
+        to, at, path = reach.tolist(), 0, []
+        while at < n:
+            path.append(at)
+            at = to[at]
+        return best[path]
+
     def merged(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact merging of many words: those of a similar length together, one merge of each in every round."""
         size = ends - starts

@@ -34,8 +34,9 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text", key: str
 
     Greedy longest matches are proposed, all neighbouring pairs checked at once, and only words that fail are merged
     step by step. Result: key, n_tokens, n_bytes, ids (array<int>), exact. A null text counts as an empty one: no
-    tokens, exact. Every row is encoded on its own, so repeated rows, null keys and further columns change nothing.
-    No shuffle: the only pass reads key and text.
+    tokens, exact. Every row is encoded on its own, so repeated rows, also with different texts, null keys and further columns
+    change nothing; a very long text is encoded whole; an empty table gives an empty result. No shuffle: the only pass reads
+    key and text.
     """
     shipped, kind = ship(docs.sparkSession, path), dict(docs.dtypes)[key]
 
@@ -81,6 +82,7 @@ def decode(encoded: DataFrame, path: str = VOCABULARY, ids: str = "ids", key: st
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`encode` over the documents table."""
     return encode(table(spark, sf_dir, "documents"))
 
 
