@@ -21,6 +21,8 @@ from ._tables import beside, dropped, stored
 
 #: Anchors that one home takes; and bytes of words (eight each) that are searched together, beyond one such home.
 HOT, TOGETHER = 20_000, 16_000_000
+#: How often a task sees a key that is counted before it is sent.
+HEAVY = 64
 
 Anchors = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 Search = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
@@ -51,6 +53,31 @@ def tokens_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(data, starts, ends), first
 
 
+def shared_anchors(marked: DataFrame) -> DataFrame:
+    """Of anchors (key, doc_id, version, at, size) those whose key is at several places, with home (the least id), n, and what
+    tells whether the places of two keys are next to each other throughout: first (the least start), starts and ends, sums over
+    40 bits of the hashes of where they start and end (null beyond 63 bits).
+
+    Keys that a task sees HEAVY times or more are counted in each task before they are sent, so one that a third of all rows
+    have is no hot key; what is left, at most HEAVY times the tasks for each key, is sorted out in one shuffle.
+    """
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = [b.column(0).to_numpy() for b in batches if b.num_rows]
+        if keys:
+            name, count = np.unique(np.concatenate(keys), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(name[count >= HEAVY])], ["key"])
+
+    place = lambda at: F.xxhash64("doc_id", "version", at).bitwiseAND(F.lit((1 << 40) - 1))
+    known = {"home": F.min("doc_id"), "n": F.count(F.lit(1)), "first": F.min(place("at")), "starts": F.try_sum(place("at")), "ends": F.try_sum(place(F.col("at") + F.col("size")))}
+    several = "starts IS NULL OR starts <> n * first"  # else all are one place, in rows that repeat each other
+    heavy = beside(marked.select("key").mapInArrow(often, "key long").distinct())
+    light = marked.join(heavy, "key", "left_anti").withColumns({c: f.over(Window.partitionBy("key")) for c, f in known.items()}).where(f"n > 1 AND ({several})")
+    many = marked.join(heavy, "key", "left_semi")
+    counted = many.groupBy("key").agg(*(f.alias(c) for c, f in known.items())).where(several)
+    return light.unionByName(many.join(beside(counted), "key").select(*light.columns))
+
+
 def repeats(docs: DataFrame, anchors: Anchors, search: Search, length: int, left: int, merge: Callable[[DataFrame], DataFrame] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, start_word, end_word, n_words, source_doc_id): spans of words that occurred before. See `spans`."""
     return spans(docs, anchors, search, length, left, merge, text, key).drop("version")
@@ -62,8 +89,8 @@ def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left:
     A word belongs to a span if some `length` words around it also start at an earlier place: in a document of smaller
     id, or earlier in the same one. Places are compared by id, version and position. Spans are as long as possible, end_word
     is the first word after the span, and source_doc_id the document where the span's first `length` words occur first.
-    left: how many words before an anchor such a window can start. merge: joins shared anchors (key, n, doc_id, version, at,
-    reach, size, home) that always come together. Words are runs of characters other than ASCII white space. Texts of fewer
+    left: how many words before an anchor such a window can start. merge: joins anchors (see `shared_anchors`) that always
+    come together, and adds reach, where the last one of them begins. Words are runs of characters other than ASCII white space. Texts of fewer
     words, empty or null texts and rows without an id have no spans; rows that repeat an id and text count as one document,
     an id's different texts as several, told apart by version, a hash of the text; a very long text is one row like any
     other; an empty table gives an empty result; further columns don't matter. ids must be integers.
@@ -80,13 +107,13 @@ def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids), pa.array(versions), pa.array((at - first[doc]).astype(np.int32)), pa.array(size.astype(np.int32))], ["key", "doc_id", "version", "at", "size"])
 
     marked = stored(plain.mapInArrow(mark, "key long, doc_id long, version long, at int, size int"))
-    place = F.xxhash64("doc_id", "version", "at")
-    # Added up in each task before anything is sent, so that a key of a third of all rows is no hot one.
-    known = marked.groupBy("key").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
-    shared = stored(marked.join(beside(known.where("low <> high").select("key", "home", "n")), "key").withColumn("reach", F.col("at")))
+    shared = stored(shared_anchors(marked))
     dropped(marked)
     if merge:
-        shared = merge(shared)
+        before, shared = shared, stored(merge(shared))
+        dropped(before)
+    else:
+        shared = shared.withColumn("reach", F.col("at"))
     hot = shared.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("home", F.lit(True).alias("hot"))
     hot = stored(hot)  # at most the anchors' number by HOT
     is_hot = not hot.isEmpty()

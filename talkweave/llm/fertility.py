@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from . import _bpe
-from ._arrays import as_strings, flat, slices
+from ._arrays import flat, hash_spans, slices, words
 from ._tables import beside, fits, stored, table
 from .bpe import VOCABULARY, encoder, ship
 
@@ -43,25 +43,73 @@ _LETTER = np.zeros(128, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _WORD = _LETTER.copy()
 _WORD[range(48, 58)] = True
-#: Characters of a text that the piece vocabulary takes at once; longer texts are cut at blanks, which no piece spans.
-PIECE_CHARS = 200_000
-
-
-def piece_counts(sp, texts: list[str], first_byte: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of the piece vocabulary of each text, and those of them that are single bytes for characters it lacks. White
-    space that is no blank is always spelled as a byte and says nothing about the text: it is not among these."""
-    total, lost = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    plain = np.zeros(256, bool)
-    plain[[9, 10, 11, 12, 13]] = True
-    for k, t in enumerate(texts):
-        while t:
-            cut = t.find(" ", PIECE_CHARS) if len(t) > PIECE_CHARS else -1
-            part, t = (t, "") if cut < 0 else (t[:cut], t[cut + 1 :])
-            ids = np.array(sp.encode(part), np.int64) - first_byte
-            raw = ids[(ids >= 0) & (ids < 256)]
-            total[k] += len(ids)
-            lost[k] += len(raw) - int(plain[raw].sum())
-    return total, lost
+#: Places for words whose pieces a worker remembers (16 bytes each); a word takes the place of another of the same low bits.
+REMEMBERED = 1 << 18
+_NO_BLANK = np.zeros(256, bool)
+_NO_BLANK[32] = True
+
+
+class Pieces:
+    """Tokens of a piece vocabulary, and those of them that are single bytes for characters it lacks, counted by word.
+
+    No piece has a blank behind another character (checked here), so a text's tokens are those of its words, each with the
+    blanks before it, and a word that was seen before needn't be taken apart again. White space that is no blank is always
+    spelled as a byte and says nothing about the text: it is not among the bytes.
+    """
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+        n = self.sp.get_piece_size()
+        self.apart = not any("▁" in self.sp.id_to_piece(i).lstrip("▁") for i in range(n) if not self.sp.is_control(i))
+        self.kind = np.array([self.sp.is_byte(i) for i in range(n)])
+        self.kind[[i for i in range(n) if self.sp.id_to_piece(i) in ("<0x09>", "<0x0A>", "<0x0B>", "<0x0C>", "<0x0D>")]] = False
+        self.names, self.counts = np.zeros(REMEMBERED, np.uint64), np.full((REMEMBERED, 2), -1, np.int32)
+
+    def of(self, text: str) -> tuple[int, int]:
+        ids = np.array(self.sp.encode(text), np.int64)
+        return len(ids), int(self.kind[ids].sum())
+
+    def count(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both numbers of each text."""
+        raw, n = data.tobytes(), len(offsets) - 1
+        if not self.apart:
+            found = np.array([self.of(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.int64).reshape(n, 2)
+            return found[:, 0], found[:, 1]
+        starts, ends, first = words(data, offsets, _NO_BLANK)
+        text = np.repeat(np.arange(n), np.diff(first))
+        # A word begins behind the blank that ends the one before it: with the further blanks between them, if there are any.
+        begin = np.concatenate([[0], ends[:-1] + 1])[: len(ends)]
+        head = first[:-1][np.diff(first) > 0]
+        begin[head] = offsets[:-1][np.diff(first) > 0]
+        name, one, which = np.unique(hash_spans(data, begin, ends), return_index=True, return_inverse=True)
+        place = (name & np.uint64(REMEMBERED - 1)).astype(np.int64)
+        known = self.counts[place].astype(np.int64)
+        new = np.flatnonzero((self.names[place] != name) | (known[:, 0] < 0))
+        for k in new.tolist():
+            known[k] = self.of(raw[begin[one[k]] : ends[one[k]]].decode())
+        self.names[place[new]], self.counts[place[new]] = name[new], known[new]
+        each = known[which]
+        total, lost = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        np.add.at(total, text, each[:, 0])
+        np.add.at(lost, text, each[:, 1])
+        # Blanks at a text's end, or of a text that is nothing else.
+        last = offsets[:-1].copy()
+        np.maximum.at(last, text, ends)
+        for k in np.flatnonzero(last < offsets[1:]).tolist():
+            blanks = " " * int(offsets[k + 1] - last[k])
+            total[k] += self.of("a" + blanks)[0] - self.of("a")[0] if last[k] > offsets[k] else self.of(blanks)[0]
+        # The sign that stands for a blank, where a text has it itself.
+        at = raw.find(b"\xe2\x96\x81")
+        while at >= 0:
+            k = int(np.searchsorted(offsets, at, "right")) - 1
+            total[k], lost[k] = self.of(raw[offsets[k] : offsets[k + 1]].decode())
+            at = raw.find(b"\xe2\x96\x81", offsets[k + 1])
+        return total, lost
+
+
+_pieces: dict[str, Pieces] = {}
 
 
 def scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -78,7 +126,7 @@ def scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return counts.argmax(1)
 
 
-def measured_batch(e: _bpe.Encoder, sp, first_byte: int, column: pa.Array) -> dict[str, pa.Array]:
+def measured_batch(e: _bpe.Encoder, counter: Pieces, column: pa.Array) -> dict[str, pa.Array]:
     """The measures of each text of a column."""
     size = np.int64(len(e.v))
     data, offsets = flat(column)
@@ -90,7 +138,7 @@ def measured_batch(e: _bpe.Encoder, sp, first_byte: int, column: pa.Array) -> di
     ends = np.searchsorted(np.cumsum(count), first, "right")
     run_sum = np.concatenate([[0.0], np.cumsum(count * np.log2(count))])
     chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    pieces, lost = piece_counts(sp, as_strings(column).to_pylist(), first_byte)
+    pieces, lost = counter.count(data, offsets)
     with np.errstate(divide="ignore", invalid="ignore"):
         entropy = np.maximum(np.log2(n) - (run_sum[ends[1:]] - run_sum[ends[:-1]]) / n, 0)
         spread = np.where(n > 1, np.minimum(entropy / np.log2(np.minimum(n, size)), 1), 1.0)
@@ -111,20 +159,18 @@ def measures(docs: DataFrame, path: str = VOCABULARY, pieces: str = PIECES, text
     log2(min(n_tokens, vocabulary)). script: that of most letters. An empty or null text has 0 tokens and null measures.
     Kept columns whose names are those of measures come first, so rename them before.
     """
-    import sentencepiece
-
     spark, keep = docs.sparkSession, keep or ["doc_id"]
     with open(pieces, "rb") as f:
-        model = f.read()
-    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-    first_byte = next(i for i in range(sp.get_piece_size()) if sp.is_byte(i))
-    shipped, proto = ship(spark, path), spark.sparkContext.broadcast(model)
+        model = spark.sparkContext.broadcast(f.read())
+    shipped = ship(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, own = encoder(path, shipped), sentencepiece.SentencePieceProcessor(model_proto=proto.value)
+        e = encoder(path, shipped)
+        if pieces not in _pieces:
+            _pieces[pieces] = Pieces(model.value)
         for batch in batches:
             for part in slices(batch, "_text_"):
-                found = measured_batch(e, own, first_byte, part.column("_text_"))
+                found = measured_batch(e, _pieces[pieces], part.column("_text_"))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found.values()], schema=out)
 
     kept = docs.select(*keep)

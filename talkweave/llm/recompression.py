@@ -12,8 +12,8 @@ from ._tables import dropped, stored, table
 
 #: Words that a repeat has at least, and words from which a symbol of the parse merges no further.
 LENGTH, FULL = 50, 8
-#: Rounds over the whole corpus at most: each halves what always comes in pairs, 2^12 symbols in a row become one.
-GLOBAL_ROUNDS = 12
+#: Rounds over the whole corpus at most: each joins a quarter of the pairs that there are.
+GLOBAL_ROUNDS = 4
 
 
 def shared_windows(tokens: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -34,36 +34,35 @@ def shared_windows(tokens: np.ndarray, ends: np.ndarray, length: int) -> tuple[n
 
 
 def merged(shared: DataFrame, rounds: int = GLOBAL_ROUNDS) -> DataFrame:
-    """Symbols that occur at least twice, joined round by round over the whole corpus: pairs of neighbours are named by their
-    names, all occurrences of a name are counted, and a pair whose parts occur nowhere else (the pair is as frequent as each
-    of them) takes their place, with the reach of both. So nothing is lost: where a part occurs, the pair does.
+    """Symbols that are at several places, joined over the whole corpus in rounds of runs and pairs by name: where one symbol
+    ends wherever it is, another one starts, and that starts nowhere else, both get one new name. Occurrences keep the first
+    part's place and reach to the last part. So nothing is lost: where a part is, the pair is.
 
-    shared: key, n (occurrences), doc_id, version, at, reach (where its last part begins), size, home. A hash bit tells left
-    parts from right ones, another one each round, so that pairs don't overlap.
+    shared: as from `_repeats.shared_anchors`. Each round joins a table with one row a name; a hash bit tells left names from
+    right ones, another one each round, so that pairs don't overlap. Occurrences are looked at once before and once after.
     """
-    current = shared.groupBy("key", "n", "home", "doc_id", "version", "at", "reach", "size").agg(F.count(F.lit(1)).alias("m"))  # repeated rows
-    current = stored(current)
-    columns = ["key", "n", "home", "doc_id", "version", "at", "reach", "size", "m"]
+    place = F.xxhash64("doc_id", "version", "at").bitwiseAND(F.lit((1 << 40) - 1))
+    names = shared.where(place == F.col("first")).groupBy("key", "n", "starts", "ends", "size").agg(F.lit(1).alias("one")).drop("one")
+    # One row a name: head is its first part, reach how far behind it the last one begins.
+    names = names.where("starts IS NOT NULL AND ends IS NOT NULL")
+    # Names that start alike, or end alike, wherever they are, are left alone: only one of them could be the neighbour.
+    for c in ("starts", "ends"):
+        names = names.join(names.groupBy("n", c).agg(F.count(F.lit(1)).alias("m")).where("m = 1").drop("m"), ["n", c], "left_semi")
+    names = stored(names.select(F.col("key").alias("name"), F.col("key").alias("head"), F.array("key").alias("parts"), "n", "starts", "ends", F.lit(0).alias("reach"), "size"))
     for k in range(rounds):
-        text = Window.partitionBy("doc_id", "version").orderBy("at", "size", "key")
-        right = F.xxhash64("key", F.lit(k)) < 0
-        seen = current.withColumns({"right": right, "next": F.lead(F.struct(*columns)).over(text), "next_right": F.lead(right).over(text)})
-        fits = ~F.col("right") & F.col("next_right") & (F.col("next.at") == F.col("at") + F.col("size")) & (F.col("next.n") == F.col("n")) & (F.col("next.m") == F.col("m"))
-        pairs = seen.where(fits).select("doc_id", "version", "at", "key", F.xxhash64("key", "next.key").alias("pair"), "n", "m", F.col("next.at").alias("other"), F.col("next.key").alias("other_key"), F.col("next.reach").alias("reach_"), (F.col("size") + F.col("next.size")).alias("size_"))
-        pairs = stored(pairs)
-        full = pairs.groupBy("pair", "n").agg(F.sum("m").alias("times")).where("times = n").select("pair", "n")
-        good = stored(pairs.join(full, ["pair", "n"], "left_semi"))
-        if good.isEmpty():
-            dropped(pairs, good)
+        side = F.xxhash64("name", F.lit(k)) < 0
+        right = names.where(side).select(F.col("name").alias("name_"), F.col("parts").alias("parts_"), "n", F.col("starts").alias("ends"), F.col("ends").alias("ends_"), F.col("reach").alias("reach_"), F.col("size").alias("size_"))
+        pairs = stored(names.where(~side).join(right, ["n", "ends"]))
+        if pairs.isEmpty():
+            dropped(pairs)
             break
-        first = good.select("doc_id", "version", "at", "key", "pair", "reach_", "size_")
-        second = good.select("doc_id", "version", F.col("other").alias("at"), F.col("other_key").alias("key"), F.lit(None).cast("long").alias("pair"), F.lit(None).cast("int").alias("reach_"), F.lit(None).cast("int").alias("size_"))
-        marks = first.unionByName(second).withColumn("hit", F.lit(True))
-        both = current.join(marks, ["doc_id", "version", "at", "key"], "left").where("hit IS NULL OR pair IS NOT NULL")
-        new = {"key": F.coalesce("pair", "key"), "reach": F.coalesce("reach_", "reach"), "size": F.coalesce("size_", "size")}
-        before, current = current, stored(both.withColumns(new).select(*columns))
-        dropped(before, pairs, good)
-    return current
+        gone = pairs.select(F.explode(F.array("name", "name_")).alias("name"))
+        new = pairs.select(F.xxhash64("name", "name_").alias("name"), "head", F.concat("parts", "parts_").alias("parts"), "n", "starts", F.col("ends_").alias("ends"), (F.col("size") + F.col("reach_")).alias("reach"), (F.col("size") + F.col("size_")).alias("size"))
+        before, names = names, stored(names.join(gone, "name", "left_anti").unionByName(new))
+        dropped(before, pairs)
+    parts = names.where(F.size("parts") > 1).select(F.posexplode("parts").alias("i", "key"), F.when(F.col("head") == F.col("key"), F.col("reach")).alias("to"), "name")
+    both = shared.join(parts.where("i = 0 OR to IS NULL"), "key", "left").where("i IS NULL OR i = 0")
+    return both.select(F.coalesce("name", "key").alias("key"), "home", "doc_id", "version", "at", (F.col("at") + F.coalesce("to", F.lit(0))).alias("reach"))
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, full: int = FULL, text: str = "text", key: str = "doc_id") -> DataFrame:
