@@ -336,3 +336,20 @@ def test_shared_folder_is_asked_for_on_clusters():
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_toxicity_trains_on_all_labelled_documents(spark, monkeypatch):
+    """Long ones too, in several blocks, whatever the partitions; every document is in one block."""
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 400)
+    monkeypatch.setattr(toxicity, "BLOCK", 10_000)
+    made = [(i, prose(i, 120) + (" vilefoo awfulbar" * 3 if i % 3 == 0 else ""), "en" if i % 2 else None) for i in range(700)]
+    docs = spark.createDataFrame([*made, (9000, None, "en"), (None, "no id", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(500)] + [(9000, 1), (None, 1), (600, None)], "doc_id long, toxic int")
+    rows = toxicity.blocks(docs, labels).collect()
+    assert len(rows) > 4 and sum(r.n for r in rows) == 500 and sum(r.n_toxic for r in rows) == 167 and {r.held for r in rows} == {True, False}
+    assert sum(len(r.words) // 4 for r in rows) == sum(len(toxicity.word_rows(*flat(pa.array([m[1]])))[0]) for m in made[:500])
+    one, other = toxicity.train(docs, labels), toxicity.train(docs.repartition(7), labels.repartition(3))
+    assert np.array_equal(one.embedding, other.embedding) and one.thresholds == other.thresholds and one.threshold == other.threshold
+    got = {x.doc_id: x.toxic for x in toxicity.classify(docs, one).collect()}
+    assert np.mean([got[m[0]] == (m[0] % 3 == 0) for m in made[500:]]) > 0.97
+    assert toxicity.train(docs, labels.where("toxic = 0")).threshold == 2.0
