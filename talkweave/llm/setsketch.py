@@ -1,4 +1,4 @@
-"""Operator 9: near duplicates by SetSketch registers, joint likelihood and exact verification."""
+"""Operator 9: near duplicates by SetSketch registers, joint likelihood and exact verification; then, exactly, what these left."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._arrays import U, flat, hash_spans, mix, ranges, released, slices, words
@@ -28,6 +28,8 @@ MARGIN = 0.13
 #: through rounds of groups, and are told apart by FINER further bands of FINER_ROWS registers each: a pair at the threshold
 #: shares one of these with probability 1 - (1 - 0.5^2)^24 = 0.999.
 HOT, TOGETHER, FINER, FINER_ROWS = 20_000, 60_000, 24, 2
+#: Shingles that are looked at together when it is counted which of them lie in several groups.
+BUCKET = 2_000_000
 _M = BANDS * ROWS
 _FACTORS = np.random.default_rng(9).integers(0, 2**31, _M, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SALTS = np.random.default_rng(10).integers(0, 2**32, _M, dtype=np.uint32)
@@ -48,6 +50,16 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tupl
     return h, np.concatenate([[0], np.cumsum(count)])
 
 
+def distinct(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of each text, and the text of each."""
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+    return h[new], text[new]
+
+
 def registers(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     """SetSketch registers (texts x BANDS*ROWS, uint16): floor(1 - log_b of the least of exponentially distributed hashes).
 
@@ -106,7 +118,8 @@ def node(text: Column, seed: int = 0) -> Column:
 
 
 def sketches(docs: DataFrame, seed: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, node, digest (128 bits of the text), registers (binary) of each row that has an id and a word."""
+    """doc_id, node, digest (128 bits of the text), size (different shingles), registers (binary) of each row that has an id and
+    a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,20 +129,20 @@ def sketches(docs: DataFrame, seed: int = 0, text: str = "text", key: str = "doc
                 r = registers(h, first)
                 raw = data.tobytes()
                 digest = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                got = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(digest, pa.binary()), _binary(r)], ["doc_id", "node", "digest", "registers"])
+                got = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(digest, pa.binary()), pa.array(np.bincount(distinct(h, first)[1], minlength=len(digest))), _binary(r)], ["doc_id", "node", "digest", "size", "registers"])
                 yield got.filter(pa.array(np.diff(first) > 0))
 
     source = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), node(docs[text], seed).alias("node"), docs[text].alias("text"))
-    return source.mapInArrow(run, "doc_id long, node long, digest binary, registers binary")
+    return source.mapInArrow(run, "doc_id long, node long, digest binary, size long, registers binary")
 
 
 def sketched_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, int]:
-    """The stored rows (doc_id, node) and distinct texts (node, doc_id: the least, registers), and the seed of the nodes:
+    """The stored rows (doc_id, node) and distinct texts (node, doc_id: the least, size, registers), and the seed of the nodes:
     another one is taken where two different texts, by their digests, have the same node."""
     for seed in range(100):
         every = stored(sketches(docs, seed, text, key))
         # Texts that many rows have are joined in each task first.
-        texts = every.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("registers").alias("registers"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+        texts = every.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("size").alias("size"), F.min("registers").alias("registers"), F.min("digest").alias("low"), F.max("digest").alias("high"))
         texts = stored(texts)
         if texts.where("low <> high").isEmpty():
             rows = stored(every.select("doc_id", "node").distinct())
@@ -353,6 +366,94 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def crossing(plain: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts of different groups (node, root) whose similarity is the threshold at least: enough to connect all
+    groups that have one. Exact, whatever sketches say.
+
+    A text of such a pair has this share of its shingles in common with another group. Which shingles lie in several groups
+    is found from 32 bits of each shingle, text and root within a bucket of shingles; where these bits are the same by chance a text is looked at
+    in vain, never left out. The few texts that are left are joined by prefixes: with shingles in one order everywhere, the rare
+    ones first, the two of a pair have one in common among the first size - threshold * size + 1 of each.
+    """
+    buckets = max(-(-(texts.agg(F.sum("size")).first()[0] or 0) // BUCKET), 1)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                h, text = distinct(*shingles(*flat(part.column("text"))))
+                ref, root = (part.column(c).to_numpy().astype(np.uint32) for c in ("node", "root"))
+                grouped_ = (part.column("node").to_numpy() != part.column("root").to_numpy())[text]
+                kind = (h % U(buckets)).astype(np.int64) * 2 + grouped_
+                order = np.argsort(kind, kind="stable")
+                h, text, kind = h[order], text[order], kind[order]
+                head = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]])) if len(kind) else np.zeros(0, np.int64)
+                at = np.append(head, len(kind)).astype(np.int32) * 4
+                kind = kind[head]
+                size = np.where(kind % 2 == 1, np.diff(at), 0)
+                own = np.repeat(kind % 2 == 1, np.diff(at) // 4)
+                columns = [((h >> U(32)).astype(np.uint32), at), (ref[text], at), (root[text][own], np.concatenate([[0], np.cumsum(size)]).astype(np.int32))]
+                binary = [pa.Array.from_buffers(pa.binary(), len(kind), [None, pa.py_buffer(x), pa.py_buffer(np.ascontiguousarray(v))]) for v, x in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(kind // 2), *binary], ["bucket", "keys", "refs", "roots"])
+
+    def several(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys, refs, roots_ = ([], [], [])
+        for batch in held:
+            for k, r, o in zip(*(batch.column(c) for c in ("keys", "refs", "roots"))):
+                keys.append(np.frombuffer(k.as_buffer(), np.uint32))
+                refs.append(np.frombuffer(r.as_buffer(), np.uint32))
+                roots_.append(np.frombuffer(o.as_buffer(), np.uint32) if len(o.as_buffer()) else refs[-1])
+        key, ref, root = (np.concatenate(x) for x in (keys, refs, roots_))
+        both = key.astype(np.uint64) << U(32) | ref
+        order = np.argsort(both)
+        both, root = both[order], root[order]
+        key = (both >> U(32)).astype(np.uint32)
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(head, len(key)))
+        shared = np.repeat(np.minimum.reduceat(root, head) < np.maximum.reduceat(root, head), size)
+        shared[1:] &= both[1:] != both[:-1]  # a text that several rows have counts once
+        ref, count = np.unique((both[shared] & U(0xFFFFFFFF)).astype(np.int64), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(ref), pa.array(count.astype(np.int64))], ["ref", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows come sorted by bucket."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            bucket = batch.column("bucket").to_numpy()
+            ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket)).tolist()
+            for a, b in zip([0, *ends], ends):
+                if a < b:
+                    if held and held[0].column("bucket")[0].as_py() != bucket[a]:
+                        yield several(held)
+                        held = []
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield several(held)
+        released()
+
+    low = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
+    of = beside(roots.select("node", "root"))
+    root = F.coalesce("root", "node").alias("root")
+    marked = plain.join(of, "node", "left").select("node", root, "text").mapInArrow(mark, "bucket long, keys binary, refs binary, roots binary")
+    counted = marked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "ref long, n long").groupBy("ref").agg(F.sum("n").alias("shared"))
+    every = texts.join(of, "node", "left").select("node", "doc_id", "size", root)
+    # Groups whose roots have the same 32 bits are not told apart above.
+    alike = every.groupBy(low("node").alias("alike")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("alike")
+    asked = every.join(counted, low("node") == F.col("ref")).where(F.col("shared") >= threshold * F.col("size") - 1e-6).select(*every.columns)
+    asked = stored(asked.unionByName(every.join(alike, low("root") == F.col("alike"), "left_semi")).distinct())
+    sets = stored(shingle_sets(plain, asked.select("node", "doc_id")))
+    posted = sets.join(asked, "node").select("node", "root", "size", F.explode("shingles").alias("h"))
+    known = posted.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h", "n")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(0)), "h"))
+    prefix = posted.join(known, "h", "left").withColumn("i", place).where(F.col("n").isNotNull() & (F.col("i") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-6) + 1))
+    prefix = stored(prefix.select("h", "node", "root", "size"))
+    side = lambda c: prefix.select("h", F.col("node").alias(c), F.col("root").alias(f"root_{c}"), F.col("size").alias(f"size_{c}"))
+    near = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b") - 1e-6
+    pairs = stored(side("a").join(side("b"), "h").where(F.col("a") < F.col("b")).where(F.col("root_a") != F.col("root_b")).where(near).select("a", "b").distinct())
+    found = stored(verified(pairs, sets, threshold))
+    dropped(asked, sets, prefix, pairs)
+    return found
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, kept_doc_id, exact): every document that goes, the one that stays for its group, and whether its text is
     the same as that of an earlier document. See `grouped`."""
@@ -362,7 +463,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, text: str = "
 def grouped(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, int]:
     """(doc_id, node, kept_doc_id, exact) of every document that goes, and the seed of the nodes.
 
-    A group is a connected component of verified pairs of different texts, with all documents that have these texts; the
+    A group is a connected component of all pairs of different texts whose Jaccard similarity is the threshold at least (most
+    are shown by sketches, `crossing` finds whatever else connects groups), with all documents that have these texts; the
     least id stays (of an id's texts in one group, that of the least node). Texts without a word are in no group, nor are rows
     without an id; rows that repeat an id and text count as one document, an id's different texts as several. Equal texts are
     joined first, so sketches compete among distinct texts only; a very long text has as many registers as any. An empty table
@@ -383,8 +485,13 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", k
     between = between.join(best, ["a", "b"], "left_anti")
     more = stored(verified(between, sets, threshold))
     dropped(sets, pairs)
+    links = linked.unionByName(more)
     if not more.isEmpty():
-        roots = components(linked.unionByName(more))
+        roots = components(links)
+    # Then the links that no sketch has shown.
+    missed = crossing(plain, texts, roots, threshold)
+    if not missed.isEmpty():
+        roots = components(links.unionByName(missed))
     named = texts.select("node", F.col("doc_id").alias("first_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keepers = named.groupBy("root").agg(F.min(F.struct("first_id", "node")).alias("keeper"))
     to = named.join(keepers, "root").select("node", "first_id", "keeper")

@@ -353,3 +353,27 @@ def test_toxicity_trains_on_all_labelled_documents(spark, monkeypatch):
     got = {x.doc_id: x.toxic for x in toxicity.classify(docs, one).collect()}
     assert np.mean([got[m[0]] == (m[0] % 3 == 0) for m in made[500:]]) > 0.97
     assert toxicity.train(docs, labels.where("toxic = 0")).threshold == 2.0
+
+
+def test_near_duplicates_that_no_sketch_shows(spark, monkeypatch):
+    """Without any candidate from sketches the groups are the same as by brute force; with all of them too."""
+    r = random.Random(12)
+    texts = {}
+    for i in range(60):
+        texts[i] = prose(i, r.choice([2, 3, 9, 40, 90]))
+        for k in range(r.randint(0, 3)):
+            words = texts[i].split()
+            for _ in range(r.randint(0, len(words) // 7)):
+                words[r.randrange(len(words))] = prose(r.randrange(9000), 1)
+            texts[100 * (k + 1) + i] = ("  " if k else " ").join(words)
+    licence = prose(7, 60)
+    texts |= {1000 + i: licence + " " + prose(600 + i, r.randint(20, 90)) for i in range(30)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_groups(texts)
+    assert want
+    found = lambda: {x.doc_id: x.kept_doc_id for x in setsketch.near_duplicates(df).collect()}
+    assert found() == want
+    none = lambda texts, threshold: spark.createDataFrame([], "a long, b long, estimate double")
+    monkeypatch.setattr(setsketch, "candidates", none)
+    monkeypatch.setattr(setsketch, "BUCKET", 500)
+    assert found() == want
