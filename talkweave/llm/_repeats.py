@@ -21,6 +21,8 @@ from ._tables import beside, dropped, stored
 
 #: Anchors that one home takes; and bytes of words (eight each) that are searched together, beyond one such home.
 HOT, TOGETHER = 20_000, 16_000_000
+#: Words whose windows are hashed at once.
+WINDOWS = 500_000
 #: How often a task sees a key that is counted before it is sent.
 HEAVY = 64
 
@@ -112,33 +114,34 @@ def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left:
     if merge:
         before, shared = shared, stored(merge(shared))
         dropped(before)
-    else:
+    kept = shared
+    if not merge:
         shared = shared.withColumn("reach", F.col("at"))
     hot = shared.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("home", F.lit(True).alias("hot"))
     hot = stored(hot)  # at most the anchors' number by HOT
     is_hot = not hot.isEmpty()
-    placed = shared.join(F.broadcast(hot), "home", "left") if is_hot else shared.withColumn("hot", F.lit(None).cast("boolean"))
-
-    def pieces(which: str) -> DataFrame:
-        """Texts with the places of their anchors in homes that are hot or not."""
-        wanted = placed.where(f"hot IS {which}").groupBy("doc_id", "version").agg(F.collect_set(F.struct("at", "reach", "home")).alias("places"))
-        return plain.join(wanted, ["doc_id", "version"])
+    placed = shared.join(F.broadcast(hot), "home", "left") if is_hot else shared.withColumn("hot", F.lit(False))
+    # Texts with the places of their anchors, those in hot homes and the others: the texts are sent once.
+    wanted = placed.groupBy("doc_id", "version").agg(F.collect_set(F.struct("at", "reach", "home", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("places"))
 
     def segments(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        """Tokens of the texts; text, home, first and end token of each segment around anchors; first token of each text."""
+        """Tokens of the texts; text, home, whether that is hot, first and end token of each segment around anchors; first token of
+        each text. All hot homes count as one."""
         tokens, first = tokens_of(part)
         places = part.column("places")
         count = places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         at, reach, home = (places.flatten().field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1, 2))
+        warm = places.flatten().field(3).to_numpy(zero_copy_only=False).astype(bool)
+        home = np.where(warm, 0, home)
         doc = np.repeat(np.arange(len(count)), count)
         low = np.maximum(at - left, 0) + first[doc]
         high = np.minimum(reach + length + first[doc], first[doc + 1])
-        order = np.lexsort((low, home, doc))
-        doc, home, low, high = doc[order], home[order], low[order], high[order]
+        order = np.lexsort((low, home, warm, doc))
+        doc, home, warm, low, high = doc[order], home[order], warm[order], low[order], high[order]
         if not len(doc):
-            return tokens, doc, home, low, high, first
+            return tokens, doc, home, warm, low, high, first
         # Overlapping or touching pieces of one document and home become one segment.
-        group = np.concatenate([[True], (doc[1:] != doc[:-1]) | (home[1:] != home[:-1])])
+        group = np.concatenate([[True], (doc[1:] != doc[:-1]) | (home[1:] != home[:-1]) | (warm[1:] != warm[:-1])])
         number = np.cumsum(group)
         wide = np.int64(len(tokens) + 1)
         far = np.maximum.accumulate(high + number * wide) - number * wide
@@ -146,12 +149,12 @@ def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left:
         new[1:] |= low[1:] > far[:-1]
         head = np.flatnonzero(new)
         last = np.append(head[1:], len(doc)) - 1
-        return tokens, doc[head], home[head], low[head], far[last], first
+        return tokens, doc[head], home[head], warm[head], low[head], far[last], first
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                tokens, doc, home, start, stop, first = segments(part)
+                tokens, doc, home, warm, start, stop, first = segments(part)
                 if not len(doc):
                     continue
                 size = stop - start
@@ -159,24 +162,27 @@ def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left:
                 ids, versions = (part.column(c).to_numpy()[doc] for c in ("doc_id", "version"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(home), pa.array(ids), pa.array(versions), pa.array((start - first[doc]).astype(np.int32)),
+                        pa.array(home), pa.array(warm), pa.array(ids), pa.array(versions), pa.array((start - first[doc]).astype(np.int32)),
                         pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(raw.astype(np.int32)), pa.py_buffer(tokens[ranges(start, size)])]),
                     ],
-                    ["home", "doc_id", "version", "start", "tokens"],
+                    ["home", "hot", "doc_id", "version", "start", "tokens"],
                 )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                tokens, doc, _, start, stop, first = segments(part)
-                count = np.maximum(stop - start - length + 1, 0)
-                at = ranges(start, count)
-                owner = np.repeat(doc, count)
-                _, one = np.unique(at, return_index=True)  # homes of one text may overlap
-                at, owner = at[one], owner[one]
+            if not batch.num_rows:
+                continue
+            ids, versions, start = (batch.column(c).to_numpy() for c in ("doc_id", "version", "start"))
+            pieces = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("tokens")]
+            size = np.array([len(x) for x in pieces])
+            for some in np.split(np.arange(len(size)), np.flatnonzero(np.diff(np.cumsum(size) // WINDOWS)) + 1):
+                tokens = np.concatenate([pieces[i] for i in some])
+                count = np.maximum(size[some] - length + 1, 0)
+                at, owner = ranges(np.cumsum(size[some]) - size[some], count), np.repeat(some, count)
                 a, b = gram_hashes(tokens, length), gram_hashes(mix(tokens ^ U(0x5851F42D4C957F2D)), length)
-                ids, versions = (part.column(c).to_numpy()[owner] for c in ("doc_id", "version"))
-                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(ids), pa.array(versions), pa.array((at - first[owner]).astype(np.int64))], ["a", "b", "doc_id", "version", "s"])
+                s = ranges(start[some].astype(np.int64), count)
+                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(ids[owner]), pa.array(versions[owner]), pa.array(s)], ["a", "b", "doc_id", "version", "s"])
+        released()
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rows come sorted by home: whole homes are searched as soon as there are words enough."""
@@ -235,10 +241,15 @@ def spans(docs: DataFrame, anchors: Anchors, search: Search, length: int, left:
         yield pa.RecordBatch.from_arrays([pa.array(doc_of[seg]), pa.array(versions[row_of][seg]), pa.array(from_), pa.array(until), pa.array(doc_of[segment[source[at]]])], ["doc_id", "version", "s", "e", "source"])
 
     rows = "doc_id long, version long, s long, e long, source long"
-    cold = pieces("NULL").mapInArrow(cut, "home long, doc_id long, version long, start int, tokens binary")
+    cold = plain.join(wanted, ["doc_id", "version"]).mapInArrow(cut, "home long, hot boolean, doc_id long, version long, start int, tokens binary")
+    if is_hot:
+        both = stored(cold)
+        dropped(kept, hot)
+        cold = both.where("NOT hot")
+    cold = cold.drop("hot")
     found = cold.repartition("home").sortWithinPartitions("home").mapInArrow(seek, rows)
     if is_hot:
-        every = stored(pieces("NOT NULL").mapInArrow(windows, "a long, b long, doc_id long, version long, s long"))
+        every = stored(both.where("hot").mapInArrow(windows, "a long, b long, doc_id long, version long, s long"))
         place = F.struct("doc_id", "version", "s")
         firsts = every.groupBy("a", "b").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("a", "b", "low")
         again = every.join(beside(firsts), ["a", "b"]).where(place > F.col("low"))

@@ -377,3 +377,15 @@ def test_near_duplicates_that_no_sketch_shows(spark, monkeypatch):
     monkeypatch.setattr(setsketch, "candidates", none)
     monkeypatch.setattr(setsketch, "BUCKET", 500)
     assert found() == want
+
+
+@pytest.mark.parametrize("operator", [recompression.repeated_passages, suffix_dedup.later_copies])
+def test_texts_are_sent_once_beside_hot_homes(spark, monkeypatch, tmp_path, operator):
+    """What is left after the hot homes are taken out reads cut segments, not the texts again."""
+    monkeypatch.setattr(_repeats, "HOT", 10)
+    licence = prose(8000, 75)
+    texts = {i: f"{prose(i, 30 + i)} {licence if i % 2 else prose(700 + i // 4, 70)} {prose(300 + i, 40)}" for i in range(60)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/texts")
+    got = operator(spark.read.parquet(f"{tmp_path}/texts"))
+    assert f"{tmp_path}/texts" not in " ".join(got.inputFiles())
+    assert sorted(tuple(r) for r in got.select("doc_id", "start_word", "end_word", "source_doc_id").collect()) == brute_spans(texts, 50)
