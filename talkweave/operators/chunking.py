@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 SILENCE = "<|silence|>"
 
@@ -160,18 +162,123 @@ def capped_sessions(words: Iterable[tuple[int, int]], gap: int, most: int) -> li
     return [joined[m] for m in member]
 
 
-def sessionised(words: DataFrame, key: str, gap_ms: int = 1000, most_ms: int = 20_000) -> DataFrame:
-    """(key, session_id, start_ms, end_ms, text) of timed words (start_ms, end_ms, word)."""
+class _Folded:
+    """A stretch of words: least start, greatest end, and the text of those that aren't null."""
+
+    __slots__ = ("end", "start", "words")
+
+    def __init__(self):
+        self.start = self.end = None
+        self.words: list[str] = []
+
+    def add(self, s: int | None, e: int | None, words: list[str]) -> None:
+        if s is not None and (self.start is None or s < self.start):
+            self.start = s
+        if e is not None and (self.end is None or e > self.end):
+            self.end = e
+        self.words += words
+
+
+class _Sessions:
+    """capped_sessions of one key, word by word: what has become whole comes back as (number, stretch)."""
+
+    def __init__(self, gap: int, most: int):
+        self.gap, self.most, self.number = gap, most, -1
+        self.span = self.first = self.last = self.known = self.session = self.begin = None
+
+    def add(self, s: int | None, e: int | None, word: list[str]) -> tuple[int, _Folded] | None:
+        done = None
+        apart = s is not None and self.last is not None and s - self.last >= self.gap
+        if self.span is None or apart or (e is not None and self.first is not None and e - self.first > self.most):
+            done = self._join()
+            self.span, self.first, self.known = _Folded(), s, None
+        self.last = e
+        self.known = self.known if e is None else e
+        self.span.add(s, e, word)
+        return done
+
+    def _join(self) -> tuple[int, _Folded] | None:
+        """The current span goes to the current session, or begins the next one."""
+        done, span = None, self.span
+        if span is None:
+            return None
+        if self.session is None or (self.known is not None and self.begin is not None and self.known - self.begin >= self.most):
+            done = None if self.session is None else (self.number, self.session)
+            self.session, self.begin, self.number = span, self.first, self.number + 1
+        else:
+            self.session.add(span.start, span.end, span.words)
+        return done
+
+    def end(self) -> list[tuple[int, _Folded]]:
+        done = self._join()
+        return ([done] if done else []) + ([(self.number, self.session)] if self.session else [])
+
+
+def _listed(column: pa.Array) -> list:
+    """to_pylist, by way of numpy where that gives the same: it takes a tenth of the time."""
+    plain = pa.types.is_string(column.type) or (pa.types.is_integer(column.type) and not column.null_count)
+    return column.to_numpy(zero_copy_only=False).tolist() if plain else column.to_pylist()
+
+
+#: Rows, and characters of text, of an output batch.
+BATCH_ROWS, BATCH_CHARS = 10_000, 4 << 20
+
+
+def _folded(words: DataFrame, key: str, name: str, folds: Callable[[], _Sessions]) -> DataFrame:
+    """(key, name, start_ms, end_ms, text): each key's words, by start, end (nulls last) and word, folded one after the other.
+
+    Spark sorts (and spills); keys share a task's batches, and what is held is the stretch that isn't whole yet, not a key's
+    rows. A stretch without a word has null text.
+    """
     kind = dict(words.dtypes)[key]
+    schema = f"`{key}` {kind}, `{name}` long, start_ms long, end_ms long, text string"
+    wide = words.select(F.col(key), F.col("start_ms").cast("long").alias("start_ms"), F.col("end_ms").cast("long").alias("end_ms"), F.col("word").cast("string").alias("word"))
+    arrow_key = wide.select(key).schema
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [to_arrow_type(arrow_key[0].dataType), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        out: list[list] = [[] for _ in types]
+        size, now, fold = 0, None, None
+
+        def put(number: int, x: _Folded) -> None:
+            nonlocal size
+            text = " ".join(x.words) if x.words else None
+            size += len(text or "")
+            for column, value in zip(out, (now, number, x.start, x.end, text)):
+                column.append(value)
+
+        def batch() -> pa.RecordBatch:
+            nonlocal size
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=[key, name, "start_ms", "end_ms", "text"])
+            for c in out:
+                c.clear()
+            size = 0
+            return made
+
+        for part in parts:
+            for k, s, e, w in zip(*map(_listed, part.columns)):
+                if fold is None or (k != now and (k == k or now == now)):  # NaN is a key like any other
+                    for x in fold.end() if fold else ():
+                        put(*x)
+                    now, fold = k, folds()
+                whole = fold.add(s, e, [] if w is None else [w])
+                if whole:
+                    put(*whole)
+                    if len(out[0]) >= BATCH_ROWS or size >= BATCH_CHARS:
+                        yield batch()
+            if len(out[0]) >= BATCH_ROWS:
+                yield batch()
+        for x in fold.end() if fold else ():
+            put(*x)
+        yield batch()
+
+    order = [F.asc(key), *(F.asc_nulls_last(c) for c in ("start_ms", "end_ms", "word"))]
+    return wide.repartition(F.col(key)).sortWithinPartitions(*order).mapInArrow(run, schema)
 
-    def run(k: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["start_ms", "end_ms"], kind="stable")
-        g["session_id"] = capped_sessions(zip(g["start_ms"], g["end_ms"]), gap_ms, most_ms)
-        out = g.groupby("session_id").agg(start_ms=("start_ms", "min"), end_ms=("end_ms", "max"), text=("word", lambda x: " ".join(x.dropna().astype(str)))).reset_index()
-        out.insert(0, key, k[0])
-        return out
 
-    return words.select(key, "start_ms", "end_ms", "word").groupBy(key).applyInPandas(run, f"`{key}` {kind}, session_id long, start_ms long, end_ms long, text string")
+def sessionised(words: DataFrame, key: str, gap_ms: int = 1000, most_ms: int = 20_000) -> DataFrame:
+    """(key, session_id, start_ms, end_ms, text) of timed words (start_ms, end_ms, word): `capped_sessions` in one pass."""
+    return _folded(words, key, "session_id", lambda: _Sessions(gap_ms, most_ms))
 
 
 def sentence_times(sentences: list[tuple[int, int, str]], tokens: list[dict]) -> list[dict]:
