@@ -214,6 +214,25 @@ class _Sessions:
         return ([done] if done else []) + ([(self.number, self.session)] if self.session else [])
 
 
+class _Parts:
+    """Parts of one key, word by word: a new one as soon as the one before lasts `least`."""
+
+    def __init__(self, least: int):
+        self.least, self.number, self.part, self.begin, self.full = least, -1, None, None, False
+
+    def add(self, s: int | None, e: int | None, word: list[str]) -> tuple[int, _Folded] | None:
+        done = None
+        if self.part is None or self.full:
+            done = None if self.part is None else (self.number, self.part)
+            self.part, self.begin, self.number = _Folded(), s, self.number + 1
+        self.full = e is not None and self.begin is not None and e - self.begin >= self.least
+        self.part.add(s, e, word)
+        return done
+
+    def end(self) -> list[tuple[int, _Folded]]:
+        return [(self.number, self.part)] if self.part else []
+
+
 def _listed(column: pa.Array) -> list:
     """to_pylist, by way of numpy where that gives the same: it takes a tenth of the time."""
     plain = pa.types.is_string(column.type) or (pa.types.is_integer(column.type) and not column.null_count)
@@ -224,7 +243,7 @@ def _listed(column: pa.Array) -> list:
 BATCH_ROWS, BATCH_CHARS = 10_000, 4 << 20
 
 
-def _folded(words: DataFrame, key: str, name: str, folds: Callable[[], _Sessions]) -> DataFrame:
+def _folded(words: DataFrame, key: str, name: str, folds: Callable[[], _Sessions | _Parts]) -> DataFrame:
     """(key, name, start_ms, end_ms, text): each key's words, by start, end (nulls last) and word, folded one after the other.
 
     Spark sorts (and spills); keys share a task's batches, and what is held is the stretch that isn't whole yet, not a key's
@@ -297,21 +316,7 @@ def sentence_times(sentences: list[tuple[int, int, str]], tokens: list[dict]) ->
 def concatenated(words: DataFrame, key: str, least_ms: int = 25_000) -> DataFrame:
     """(key, part, start_ms, end_ms, text): timed words (start_ms, end_ms, word) in order, a new part as soon as the one before
     lasts least_ms; the last may be shorter."""
-    kind = dict(words.dtypes)[key]
-
-    def run(k: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["start_ms", "end_ms", "word"], kind="stable")
-        part, start, parts = 0, None, []
-        for s, e in zip(g["start_ms"], g["end_ms"]):
-            start = s if start is None else start
-            parts.append(part)
-            if e - start >= least_ms:
-                part, start = part + 1, None
-        out = g.assign(part=parts).groupby("part").agg(start_ms=("start_ms", "min"), end_ms=("end_ms", "max"), text=("word", lambda x: " ".join(x.dropna().astype(str)))).reset_index()
-        out.insert(0, key, k[0])
-        return out
-
-    return words.select(key, "start_ms", "end_ms", "word").groupBy(key).applyInPandas(run, f"`{key}` {kind}, part long, start_ms long, end_ms long, text string")
+    return _folded(words, key, "part", lambda: _Parts(least_ms))
 
 
 def timed_spans(spans: DataFrame, times: DataFrame, key: str) -> DataFrame:

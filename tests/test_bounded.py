@@ -51,3 +51,18 @@ def test_sessions_in_one_pass(spark, small_batches):
     got = chunking.sessionised(table, "k", 10, 40)
     want = folded(rows, lambda mine: chunking.capped_sessions([x[:2] for x in mine], 10, 40))
     assert sorted(map(tuple, got.collect()), key=str) == want and in_one_pass(got)
+
+
+def test_parts_in_one_pass(spark, small_batches):
+    def numbers(mine):
+        out, part, start = [], 0, None
+        for s, e, _ in mine:
+            start = s if start is None else start
+            out.append(part)
+            if e - start >= 25:
+                part, start = part + 1, None
+        return out
+
+    rows, table = timed_words(spark)
+    got = chunking.concatenated(table, "k", 25)
+    assert sorted(map(tuple, got.collect()), key=str) == folded(rows, numbers) and in_one_pass(got)
