@@ -1,9 +1,14 @@
 """Steps that go on in batches: the same rows as key by key or text by text, whatever the batches."""
 
 import random
+import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
+from talkweave.functions import alignment
+from talkweave.functions.slices import slices
 from talkweave.operators import chunking
 
 
@@ -66,3 +71,36 @@ def test_parts_in_one_pass(spark, small_batches):
     rows, table = timed_words(spark)
     got = chunking.concatenated(table, "k", 25)
     assert sorted(map(tuple, got.collect()), key=str) == folded(rows, numbers) and in_one_pass(got)
+
+
+def python_peak(function, texts):
+    """Bytes of Python objects at most, while a batch goes through an Arrow UDF; and what it gives."""
+    array = pa.array(texts, pa.string())
+    tracemalloc.start()
+    got = function(array)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak, got.to_pylist()
+
+
+def test_sentences_a_slice_at_a_time(spark):
+    texts = ["Ett bl.a. två. Tre! Fyra" * 20, None, "", "  ", "x" * 300] * 1500
+    peak, got = python_peak(alignment.sentences_udf(("bl.a.",)).func, texts)
+    one = [{"start": s, "end": e, "text": texts[0][s:e]} for s, e in alignment.sentences(texts[0], ("bl.a.",))]
+    assert got[:5] == [one, None, [], [], [{"start": 0, "end": 300, "text": "x" * 300}]]
+    assert got == got[:5] * 1500 and len(one) > 20
+    assert peak < 16 << 20  # all sentences as dicts took more
+    assert alignment.sentences_udf().func(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_slices():
+    texts = pa.array(["a" * 5, None, "b" * 5, "c" * 50, "", "d"])
+    assert [x.to_pylist() for x in slices(texts, 10)] == [["aaaaa", None, "bbbbb"], ["c" * 50], ["", "d"]]
+    assert [len(x) for x in slices(texts.slice(2, 3), 4)] == [1, 1, 1] and [len(x) for x in slices(texts[:0])] == [0]
+
+
+def test_sentences_of_a_long_text_in_one_pass():
+    began = time.process_time()
+    assert alignment.sentences("." * 200_000 + "x") == [(0, 200_001)]
+    assert alignment.sentences("Ett. A " + "a. " * 100_000 + "b") == [(0, 4), (5, 300_008)]
+    assert time.process_time() - began < 5
