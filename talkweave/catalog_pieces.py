@@ -66,7 +66,7 @@ def json_protocols(spark: SparkSession, d: str) -> DataFrame:
     """A JSON document a protocol, one file each, its speeches by number."""
     at = scratch(spark)
     c = load(spark, d, "conversations").select(F.col("conv_id").alias("protocol_id"), F.col("turn").alias("speech_number"), "role", F.array(F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("turn") % 3).cast("int")), "yyyy-MM-dd")).alias("dates"))
-    sinks.protocol_documents(c).write.option("maxRecordsPerFile", 1).json(at)
+    sinks.json_each(sinks.protocol_documents(c), at, "protocol_id")
     schema = "protocol_id BIGINT, metadata STRUCT<number_of_speeches: BIGINT, dates: ARRAY<STRING>>, speeches ARRAY<STRUCT<speech_number: BIGINT, role: STRING>>"
     docs = readers.json_documents(spark, at, schema)
     return docs.select("protocol_id", F.col("metadata.number_of_speeches").alias("speeches"), F.array_join(F.transform("speeches", lambda x: x["role"]), ",").alias("roles"), F.array_join("metadata.dates", ",").alias("dates"))

@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 
+#: Tasks, for each core, that read files of one document at most.
+TASKS_A_CORE = 8
+
+
 def parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON document a file."""
-    return spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True)
+    """One JSON document a file. Spark would have a task for a few files (each counts as 4 MB); a task takes many."""
+    return spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True).coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
 
 
 def vad_documents(spark: SparkSession, path: str) -> DataFrame:

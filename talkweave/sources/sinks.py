@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+from collections.abc import Iterator
+from urllib.parse import quote
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +57,44 @@ def json(df: DataFrame, path: str, by: str | None = None) -> None:
     (w.partitionBy(by) if by else w).json(path)
 
 
+def json_each(docs: DataFrame, path: str, key: str) -> None:
+    """A JSON document a row, one file each, named after the key, whose values are unique."""
+    text_each(docs.select(F.col(key), F.to_json(F.struct("*")).alias("value")), path, key)
+
+
+def text_each(rows: DataFrame, path: str, key: str) -> None:
+    """The value of each row in a file of its own, named after the key, whose values are unique.
+
+    Spark's writer takes a commit, and on a local file system two processes for permissions, a file. In a folder of such a
+    system, which all executors share, their Python writes the files: whole under another name, then renamed, so that a task
+    may run again. Elsewhere the tasks put Spark's files in place themselves, and not the driver one by one.
+    """
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if fs.getScheme() != "file":
+        rows.select("value").write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+        return
+    folder = at.toUri().getPath()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        os.makedirs(folder, exist_ok=True)
+        for part in parts:
+            for k, text in zip(*(c.to_pylist() for c in part.columns)):
+                name = "none" if k is None else "doc-" + quote(k, safe="")
+                name = name if len(name) <= 200 else "long-" + hashlib.sha256(k.encode()).hexdigest()
+                begun = f"{folder}/.{uuid.uuid4().hex}"  # Spark reads no file whose name begins with a dot
+                with open(begun, "w", encoding="utf-8", newline="") as f:
+                    f.write(text + "\n")
+                os.replace(begun, f"{folder}/{name}")
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    fs.mkdirs(at)
+    rows.select(F.col(key).cast("string").alias("k"), F.coalesce("value", F.lit("")).alias("value")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def kaldi(segments: DataFrame, path: str) -> None:
     """wav.scp, segments and text in folders below the path; recordings reco001.., segments seg001-0001.. in order. Recordings
     are numbered in one task (one row each), segments within their recording."""

@@ -10,6 +10,7 @@ import pytest
 from talkweave.functions import alignment
 from talkweave.functions.slices import slices
 from talkweave.operators import chunking
+from talkweave.sources import readers, sinks
 
 
 @pytest.fixture
@@ -104,3 +105,19 @@ def test_sentences_of_a_long_text_in_one_pass():
     assert alignment.sentences("." * 200_000 + "x") == [(0, 200_001)]
     assert alignment.sentences("Ett. A " + "a. " * 100_000 + "b") == [(0, 4), (5, 300_008)]
     assert time.process_time() - began < 5
+
+
+def test_a_file_for_each_document(spark, tmp_path):
+    keys = ["a/b", "_x", ".y", "", "é" * 90, None, "none", *map(str, range(300))]
+    docs = spark.createDataFrame([(k, [i]) for i, k in enumerate(keys)], "id string, n array<int>").repartition(5)
+    for _ in range(2):  # a task that runs again writes the same files
+        sinks.json_each(docs, f"file://{tmp_path}/d", "id")
+    assert len([p for p in (tmp_path / "d").iterdir() if p.name[0] != "."]) == len(keys)
+    got = readers.json_documents(spark, f"{tmp_path}/d", "id string, n array<int>")
+    assert {(x.id, x.n[0]) for x in got.collect()} == {(k, i) for i, k in enumerate(keys)}
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file, but for the readers' limit
+    try:
+        assert readers.json_documents(spark, f"{tmp_path}/d", "id string").rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
