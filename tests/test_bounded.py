@@ -7,7 +7,7 @@ import tracemalloc
 import pyarrow as pa
 import pytest
 
-from talkweave.functions import alignment
+from talkweave.functions import alignment, normalise
 from talkweave.functions.slices import slices
 from talkweave.operators import chunking
 from talkweave.sources import readers, sinks
@@ -121,3 +121,10 @@ def test_a_file_for_each_document(spark, tmp_path):
         assert readers.json_documents(spark, f"{tmp_path}/d", "id string").rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_normalised_texts_a_slice_at_a_time(spark):
+    texts = ["Den 3 maj 1 000 kr. " * 100, None, "", "§ 5"] * 2500
+    peak, got = python_peak(normalise.normalize_udf("sv").func, texts)
+    assert got == [normalise.normalize_text(t) for t in texts[:4]] * 2500
+    assert peak < 8 << 20  # all texts and results as Python strings took more
