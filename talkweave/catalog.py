@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import cleaning, normalise, numbers_sv, similarity, times, tokens
-from .operators import chunking, intervals, keys, runs, shards, upsert, vectors, voice, words
+from .operators import chunking, intervals, keys, matching, runs, shards, upsert, vectors, voice, words
 from .plans import refine, report
 from .storage import stored
 from .streaming import sessions as stream_sessions
@@ -424,8 +424,9 @@ def oov_encode(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("k.conv_id", "k.turn", F.col("word_index").cast("long"), "id")
 
 
-#: Hashes of 5-grams are broadcast up to so many (some 100 MB), and joined by a shuffle beyond.
-BROADCAST_GRAMS = 2_000_000
+#: 5-grams are looked up in Python's tables up to so many (some 50 MB a worker), their hashes are broadcast up to so many
+#: (some 100 MB), and joined by a shuffle beyond.
+LOOKED_UP_GRAMS, BROADCAST_GRAMS = 200_000, 2_000_000
 
 
 def _grams(df: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -443,7 +444,12 @@ bg AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 4), ' ') AS
 SELECT doc_id, item_id, count(*) AS hits, CAST(min(i) AS BIGINT) AS first FROM dg JOIN bg USING (gram) GROUP BY ALL""")
 def ngram_hits(spark: SparkSession, d: str) -> DataFrame:
     bench = stored(_grams(load(spark, d, "benchmark"), "item_id").select("item_id", "a", "b").distinct())
-    few = bench.count() <= BROADCAST_GRAMS
+    n = bench.count()
+    if n <= LOOKED_UP_GRAMS:
+        passages = load(spark, d, "benchmark").select("item_id", "text").where("text IS NOT NULL").distinct().collect()
+        found = matching.gram_hits(load(spark, d, "documents"), "doc_id", "text", [tuple(x) for x in passages], "item_id", bench.schema["item_id"].dataType)
+        return found.groupBy("doc_id", "item_id").agg(F.sum("hits").alias("hits"), F.min("first").alias("first"))
+    few = n <= BROADCAST_GRAMS
     hits = _grams(load(spark, d, "documents"), "doc_id").join(F.broadcast(bench) if few else bench, ["a", "b"])
     return hits.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("hits"), F.min("i").cast("long").alias("first"))
 

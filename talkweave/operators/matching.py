@@ -1,13 +1,18 @@
-"""Matching recognised segments to a long reference text, in order."""
+"""Matching recognised segments to a long reference text, in order; and texts that share words in a row with passages."""
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 
 @dataclass
@@ -119,3 +124,51 @@ def matched(segments: DataFrame, references: DataFrame, key: str) -> DataFrame:
         return out.astype({"first": "Int64", "last": "Int64"})
 
     return segments.groupBy(key).cogroup(references.select(key, "text").groupBy(key)).applyInPandas(run, f"`{key}` {kind}, file string, start double, `end` double, first long, last long, ratio double, text string")
+
+
+def gram_hits(docs: DataFrame, key: str, text: str, passages: list[tuple], name: str, kind: DataType | str, n: int = 5) -> DataFrame:
+    """(key, name, hits, first): where a row's text has n words in a row that a passage (name, text) has too: how often, and the
+    first place. Every gram of every text is looked up; the passages' grams are tables in each worker. Words are what ASCII
+    white space leaves. One row for each row and passage that meet."""
+    ids: dict[bytes, int] = {}
+    grams: dict[tuple, dict] = {}
+    for item, said in passages:
+        w = [ids.setdefault(x, len(ids)) for x in said.encode("utf-8", "surrogatepass").split()]
+        for i in range(len(w) - n + 1):
+            grams.setdefault(tuple(w[i : i + n]), {})[item] = None
+    shared = docs.sparkSession.sparkContext.broadcast((ids, {g: list(items) for g, items in grams.items()}))
+    schema = docs.select(key).schema.add(name, kind).add("hits", "long").add("first", "long")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, grams = shared.value
+        # A gram's hash is a sum of its words' numbers, each times an odd factor of its place; what meets is then compared.
+        factors = np.random.default_rng(0).integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
+        table = np.array(sorted(grams), np.uint64).reshape(-1, n)
+        hashes = np.sort((table * factors).sum(1, dtype=np.uint64))
+        types = [to_arrow_type(f.dataType) for f in schema][1:]
+        for part in parts:
+            rows, out = [], ([], [], [])
+            texts = part.column(1).cast(pa.binary())
+            for k in range(len(texts) if len(hashes) else 0):
+                said = texts[k].as_py()
+                words = said.split() if said else []
+                if len(words) < n:
+                    continue
+                w = np.fromiter((ids.get(x, -1) for x in words), np.int64, len(words))
+                size = len(w) - n + 1
+                sums = np.zeros(size, np.uint64)
+                for i in range(n):
+                    sums += w[i : i + size].astype(np.uint64) * factors[i]
+                at = np.minimum(np.searchsorted(hashes, sums), len(hashes) - 1)
+                mine: dict = {}
+                for i in np.flatnonzero(hashes[at] == sums).tolist():
+                    for item in grams.get(tuple(w[i : i + n].tolist()), ()):
+                        mine.setdefault(item, [0, i])[0] += 1
+                for item, (hits, first) in mine.items():
+                    rows.append(k)
+                    for column, x in zip(out, (item, hits, first)):
+                        column.append(x)
+            own = part.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([own, *(pa.array(c, t) for c, t in zip(out, types))], names=schema.names)
+
+    return docs.select(key, text).mapInArrow(run, schema)

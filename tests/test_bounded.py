@@ -7,9 +7,9 @@ import tracemalloc
 import pyarrow as pa
 import pytest
 
-from talkweave.functions import alignment, normalise
+from talkweave.functions import alignment, normalise, similarity
 from talkweave.functions.slices import slices
-from talkweave.operators import chunking
+from talkweave.operators import chunking, matching
 from talkweave.sources import readers, sinks
 
 
@@ -128,3 +128,34 @@ def test_normalised_texts_a_slice_at_a_time(spark):
     peak, got = python_peak(normalise.normalize_udf("sv").func, texts)
     assert got == [normalise.normalize_text(t) for t in texts[:4]] * 2500
     assert peak < 8 << 20  # all texts and results as Python strings took more
+
+
+def test_gram_hits(spark, small_batches):
+    rng = random.Random(2)
+    said = lambda n: "".join(rng.choice("aabc") + rng.choice((" ", "\t", "\n", " \x0b", "  ")) for _ in range(n))
+    texts, passages = [(i, said(rng.choice((0, 3, 5, 60)))) for i in range(60)] + [(60, None)], [(i, said(7)) for i in range(9)] + [(9, "a b")]
+    want = {}
+    for i, t in texts:
+        w = (t or "").encode().split()
+        for item, p in passages:
+            q = p.encode().split()
+            at = [k for k in range(len(w) - 4) if w[k : k + 5] in [q[x : x + 5] for x in range(len(q) - 4)]]
+            if at:
+                want[i, item] = (len(at), at[0])
+    got = matching.gram_hits(spark.createDataFrame(texts, "id long, text string"), "id", "text", passages, "item", "long")
+    assert {(x.id, x.item): (x.hits, x.first) for x in got.collect()} == want and len(want) > 20
+    assert matching.gram_hits(spark.createDataFrame(texts, "id long, text string"), "id", "text", [], "item", "long").count() == 0
+
+
+def test_windows_are_bounded_by_their_neighbours(monkeypatch):
+    """The same window as by all, with few of them compared."""
+    rng = random.Random(4)
+    letters = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    needle = letters(200)
+    text = letters(2000) + needle[:60] + letters(40) + needle[100:] + letters(2000)
+    compared, lcs = [], similarity._lcs_length
+    monkeypatch.setattr(similarity, "_lcs_length", lambda masks, size, b: compared.append(1) or lcs(masks, size, b))
+    score, s, e = similarity.partial_alignment(text, needle)
+    calls = len(compared)
+    assert score == max(similarity.ratio(needle, text[i : i + 200]) for i in range(len(text) - 199)) == similarity.ratio(needle, text[s:e])
+    assert calls < 200
